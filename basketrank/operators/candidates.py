@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,82 +18,86 @@ def _tagged(pairs: DataFrame, source: str) -> DataFrame:
     return pairs.select(*PAIR, F.lit(source).alias("source"))
 
 
-def repurchase(train_tx: DataFrame, calendar: Calendar) -> DataFrame:
-    """Articles a customer bought in the last 14 days."""
-    recent = train_tx.where(after("t_dat", calendar.last_train, calendar.fortnight))
-    return _tagged(recent.select(*PAIR).distinct(), "repurchase")
-
+def recent_activity(train_tx: DataFrame, calendar: Calendar) -> DataFrame:
+    """Purchases of the last 90 days, one row per pair, with counts for 90, 14 and 7 days.
 
-def popular_by_age(train_tx: DataFrame, customers: DataFrame, calendar: Calendar, top: int = 100) -> DataFrame:
-    """The most bought articles of the last 14 days in each age group.
-
-    Purchases are counted per pair before the join, so a customer with many of
-    them brings at most one row per article to it. Ties go to the lower id.
+    All generators start from this table: the purchases are read and shuffled
+    once, and a customer or article with very many of them is already folded.
     """
-    counts = (
-        train_tx.where(after("t_dat", calendar.last_train, calendar.fortnight))
+    counted = {"n_14d": calendar.fortnight, "n_7d": calendar.week}
+    return (
+        train_tx.where(after("t_dat", calendar.last_train, calendar.quarter))
         .groupBy(*PAIR)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.count(F.lit(1)).alias("n_90d"),
+            *[F.count_if(after("t_dat", calendar.last_train, days)).alias(n) for n, days in counted.items()],
+        )
     )
+
+
+def repurchase(recent: DataFrame) -> DataFrame:
+    """Articles a customer bought in the last 14 days."""
+    return _tagged(recent.where(F.col("n_14d") > 0), "repurchase")
+
+
+def popular_by_age(recent: DataFrame, customers: DataFrame, top: int = 100) -> DataFrame:
+    """The most bought articles of the last 14 days in each age group, ties to the lower id."""
     grouped = (
-        counts.join(customers.select("customer_id", age_group("age").alias("age_group")), "customer_id")
+        recent.where(F.col("n_14d") > 0)
+        .join(customers.select("customer_id", age_group("age").alias("age_group")), "customer_id")
         .groupBy("age_group", "article_id")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n_14d").alias("n"))
     )
     best = Window.partitionBy("age_group").orderBy(F.desc("n"), "article_id")
     return grouped.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
 
 
-def warm_customers(train_tx: DataFrame, customers: DataFrame, calendar: Calendar) -> DataFrame:
+def warm_customers(recent: DataFrame, customers: DataFrame) -> DataFrame:
     """Known customers who bought in the last 90 days, but not in the last 14."""
-    last = (
-        train_tx.where(after("t_dat", calendar.last_train, calendar.quarter))
-        .groupBy("customer_id")
-        .agg(F.max("t_dat").alias("last_dat"))
-        .where(~after("last_dat", calendar.last_train, calendar.fortnight))
-    )
-    return customers.join(last.select("customer_id"), "customer_id", "left_semi")
+    idle = recent.groupBy("customer_id").agg(F.sum("n_14d").alias("n")).where(F.col("n") == 0)
+    return customers.join(idle.select("customer_id"), "customer_id", "left_semi")
 
 
-def age_popular(train_tx: DataFrame, customers: DataFrame, calendar: Calendar, top: int = 100) -> DataFrame:
+def age_popular(recent: DataFrame, customers: DataFrame, top: int = 100) -> DataFrame:
     """The popular articles of their age group for warm customers."""
-    warm = warm_customers(train_tx, customers, calendar).select(
-        "customer_id", age_group("age").alias("age_group")
-    )
-    popular = popular_by_age(train_tx, customers, calendar, top).select("age_group", "article_id")
+    warm = warm_customers(recent, customers).select("customer_id", age_group("age").alias("age_group"))
+    popular = popular_by_age(recent, customers, top).select("age_group", "article_id")
     # At most `top` rows for each of the four age groups.
     return _tagged(warm.join(F.broadcast(popular), "age_group"), "age_popular")
 
 
-def global_popular(train_tx: DataFrame, customers: DataFrame, calendar: Calendar, top: int = 100) -> DataFrame:
+def global_popular(recent: DataFrame, customers: DataFrame, top: int = 100) -> DataFrame:
     """The most bought articles of the last 7 days for customers idle for 90 days."""
-    active = train_tx.where(after("t_dat", calendar.last_train, calendar.quarter)).select("customer_id")
-    idle = customers.select("customer_id").join(active.distinct(), "customer_id", "left_anti")
-    best = most_bought(train_tx.where(after("t_dat", calendar.last_train, calendar.week)), top)
-    listed = best.agg(F.array_sort(F.collect_list("article_id")).alias("articles"))
+    idle = customers.select("customer_id").join(
+        recent.select("customer_id").distinct(), "customer_id", "left_anti"
+    )
+    sold = recent.where(F.col("n_7d") > 0).groupBy("article_id").agg(F.sum("n_7d").alias("n"))
+    listed = best_articles(sold, top).agg(F.sort_array(F.collect_list("article_id")).alias("articles"))
     return _tagged(idle.select("customer_id", F.explode(listed.scalar()).alias("article_id")), "global_popular")
 
 
-def most_bought(tx: DataFrame, top: int) -> DataFrame:
-    """The articles with most purchases, ties to the lower id, with their rank."""
-    counts = tx.groupBy("article_id").agg(F.count(F.lit(1)).alias("n"))
+def best_articles(counts: DataFrame, top: int) -> DataFrame:
+    """The ``top`` rows of (article_id, n) with their rank, ties to the lower id."""
     best = counts.orderBy(F.desc("n"), "article_id").limit(top)
     # Only `top` rows are left, so ranking them needs no partitions.
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "article_id")))
 
 
-def merge_candidates(sources: Iterable[DataFrame], customers: DataFrame) -> DataFrame:
+def merge_candidates(
+    sources: Iterable[DataFrame], customers: DataFrame, known: Iterable[DataFrame] = ()
+) -> DataFrame:
     """Union of the sources for known customers, each (customer, article, source) once.
 
+    Sources in ``known`` were made from the customers table and skip the check.
     One shuffle by pair serves both the de-duplication here and a following
     ``source_pivot``; pairs spread a heavy customer over all partitions.
     """
-    sources = list(sources)
-    merged = sources[0].select(*PAIR, "source")
-    for source in sources[1:]:
-        merged = merged.unionByName(source.select(*PAIR, "source"))
-    known = merged.join(customers.select("customer_id"), "customer_id", "left_semi")
-    return known.repartition(*PAIR).dropDuplicates([*PAIR, "source"])
+    cols = [*PAIR, "source"]
+    parts = [
+        source.select(*cols).join(customers.select("customer_id"), "customer_id", "left_semi") for source in sources
+    ] + [source.select(*cols) for source in known]
+    merged = reduce(DataFrame.unionByName, parts)
+    return merged.repartition(*PAIR).dropDuplicates(cols)
 
 
 def source_pivot(candidates: DataFrame) -> DataFrame:
@@ -105,11 +110,8 @@ def source_pivot(candidates: DataFrame) -> DataFrame:
 
 
 def generate_candidates(
-    train_tx: DataFrame, customers: DataFrame, calendar: Calendar, als: DataFrame | None = None,
-    extra: Iterable[DataFrame] = (),
+    recent: DataFrame, customers: DataFrame, als: DataFrame | None = None, extra: Iterable[DataFrame] = ()
 ) -> DataFrame:
     """All sources merged; ``als`` and ``extra`` are candidates made beforehand."""
-    sources = [repurchase(train_tx, calendar), age_popular(train_tx, customers, calendar)]
-    if als is not None:
-        sources.append(als)
-    return merge_candidates([*sources, *extra], customers)
+    made = [repurchase(recent), *([als] if als is not None else []), *extra]
+    return merge_candidates(made, customers, known=[age_popular(recent, customers)])

@@ -64,17 +64,27 @@ def _pairs(inputs: Inputs, mode: str = "reference") -> DataFrame:
     return stats.pair_activity(inputs.train_tx_clean, calendar, calendar.feature_as_of(mode))
 
 
+def _recent(inputs: Inputs) -> DataFrame:
+    return candidates.recent_activity(inputs.train_tx, inputs.calendar)
+
+
+def _staged_recent(inputs: Inputs) -> DataFrame:
+    """The same, written out, for queries that read it several times."""
+    return Stages(inputs.transactions.sparkSession)("recent_activity", _recent(inputs))
+
+
 def _merged(inputs: Inputs) -> DataFrame:
-    return candidates.generate_candidates(inputs.train_tx, inputs.customers, inputs.calendar)
+    return candidates.generate_candidates(_staged_recent(inputs), inputs.customers)
 
 
 def _overlapping(inputs: Inputs) -> DataFrame:
     """Candidates with pairs that several sources share: repeat purchases of the
     last 90 days stand in for the factorisation, whose output is not expressible
     in SQL."""
-    repeated = factorisation.interactions(inputs.train_tx, inputs.calendar).where(F.col("n") > 1)
+    recent = _staged_recent(inputs)
+    repeated = factorisation.interactions(recent).where(F.col("n") > 1)
     stand_in = repeated.select(*PAIR, F.lit("als").alias("source"))
-    return candidates.generate_candidates(inputs.train_tx, inputs.customers, inputs.calendar, als=stand_in)
+    return candidates.generate_candidates(recent, inputs.customers, als=stand_in)
 
 
 def _scored(inputs: Inputs, pivot: DataFrame) -> DataFrame:
@@ -171,38 +181,38 @@ def q_age_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_cand_repurchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return candidates.repurchase(inputs.train_tx, inputs.calendar)
+    return candidates.repurchase(_recent(inputs))
 
 
 @query
 def q_warm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return candidates.warm_customers(inputs.train_tx, inputs.customers, inputs.calendar).select("customer_id")
+    return candidates.warm_customers(_recent(inputs), inputs.customers).select("customer_id")
 
 
 @query
 def q_popular_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return candidates.popular_by_age(inputs.train_tx, inputs.customers, inputs.calendar)
+    return candidates.popular_by_age(_recent(inputs), inputs.customers)
 
 
 @query
 def q_cand_age_popular(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return candidates.age_popular(inputs.train_tx, inputs.customers, inputs.calendar)
+    return candidates.age_popular(_staged_recent(inputs), inputs.customers)
 
 
 @query
 def q_cand_global_popular(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return candidates.global_popular(inputs.train_tx, inputs.customers, inputs.calendar)
+    return candidates.global_popular(_staged_recent(inputs), inputs.customers)
 
 
 @query
 def q_id_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each index numbers its ids 0 .. n-1: told by count, range and distinctness."""
     inputs = bind(spark, sf_dir)
-    counts = factorisation.interactions(inputs.train_tx, inputs.calendar)
+    counts = factorisation.interactions(_staged_recent(inputs))
 
     def described(column: str) -> DataFrame:
         index = factorisation.dense_index(counts, column, "idx")
@@ -217,19 +227,19 @@ def q_id_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return factorisation.interactions(inputs.train_tx, inputs.calendar)
+    return factorisation.interactions(_recent(inputs))
 
 
 @query
 def q_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return tidy(factorisation.bm25_weights(factorisation.interactions(inputs.train_tx, inputs.calendar)))
+    return tidy(factorisation.bm25_weights(factorisation.interactions(_staged_recent(inputs))))
 
 
 @query
 def q_cand_als(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = bind(spark, sf_dir)
-    return factorisation.als_candidates(inputs.train_tx, inputs.calendar)
+    return factorisation.als_candidates(_staged_recent(inputs))
 
 
 @query
