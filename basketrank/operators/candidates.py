@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -18,19 +19,22 @@ def _tagged(pairs: DataFrame, source: str) -> DataFrame:
     return pairs.select(*PAIR, F.lit(source).alias("source"))
 
 
-def recent_activity(train_tx: DataFrame, calendar: Calendar) -> DataFrame:
+def recent_activity(train_tx: DataFrame, calendar: Calendar, as_of: date | None = None) -> DataFrame:
     """Purchases of the last 90 days, one row per pair, with counts for 90, 14 and 7 days.
 
+    The windows look back from the last training day unless ``as_of`` is given.
+
     All generators start from this table: the purchases are read and shuffled
     once, and a customer or article with very many of them is already folded.
     """
+    as_of = as_of or calendar.last_train
     counted = {"n_14d": calendar.fortnight, "n_7d": calendar.week}
     return (
-        train_tx.where(after("t_dat", calendar.last_train, calendar.quarter))
+        train_tx.where(after("t_dat", as_of, calendar.quarter))
         .groupBy(*PAIR)
         .agg(
             F.count(F.lit(1)).alias("n_90d"),
-            *[F.count_if(after("t_dat", calendar.last_train, days)).alias(n) for n, days in counted.items()],
+            *[F.count_if(after("t_dat", as_of, days)).alias(n) for n, days in counted.items()],
         )
     )
 

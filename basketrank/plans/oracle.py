@@ -43,8 +43,9 @@ def age_group(age: str) -> str:
 
 
 def r(expression: str, digits: int = 6) -> str:
-    """As ``tidy`` in queries.py: rounded, with exact halves moved up first."""
-    return f"round(CAST({expression} AS DOUBLE) + CAST(1e-{digits + 3} AS DOUBLE), {digits}) + CAST(0 AS DOUBLE)"
+    """Rounded as ``tidy`` in queries.py does it."""
+    scale = f"CAST(1e{digits} AS DOUBLE)"
+    return f"floor(CAST({expression} AS DOUBLE) * {scale} + CAST(0.501 AS DOUBLE)) / {scale}"
 
 
 CANDIDATES = f""",

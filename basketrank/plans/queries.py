@@ -37,9 +37,9 @@ def query(function: Query) -> Query:
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Widen small ints, round doubles, print dates.
 
-    Engines differ on which way an exact half goes and on the sign of a zero:
-    halves are moved up by a thousandth of the last digit, zeros made plain.
-    Prices are sums of many large values, so they keep four digits at most.
+    Engines round exact halves differently, so rounding is spelled out with a
+    half moved up by a thousandth of the last digit. Prices are sums of many
+    large values and keep four digits at most.
     """
     out = []
     for field in df.schema.fields:
@@ -47,9 +47,8 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
         if kind == "tinyint":
             column = column.cast("int")
         elif kind in ("double", "float"):
-            kept = min(digits, 4) if "price" in field.name else digits
-            nudged = column.cast("double") + F.lit(10.0 ** -(kept + 3))
-            column = F.round(nudged, kept) + F.lit(0.0)
+            scale = F.lit(10.0 ** (min(digits, 4) if "price" in field.name else digits))
+            column = F.floor(column.cast("double") * scale + F.lit(0.501)) / scale
         elif kind == "date":
             column = column.cast("string")
         out.append(column.alias(field.name))
@@ -115,7 +114,8 @@ def _feature_table(
     stages = Stages(spark)
     pivot = stages("source_pivot", candidates.source_pivot(_merged(inputs)))
     statistics = features.build_statistics(
-        inputs.train_tx_clean, inputs.articles, inputs.customers, inputs.calendar, mode, stages
+        inputs.train_tx_clean, inputs.articles, inputs.customers, inputs.calendar,
+        inputs.calendar.feature_as_of(mode), stages,
     )
     return features.build_features(pivot, statistics, inputs.label_tx if labels else None, **extras)
 

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TESTDATA
+from ..session import tune
 from ..sources import Inputs
 
 
 def bind(spark: SparkSession, sf_dir: str) -> Inputs:
+    tune(spark)
+
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 
@@ -38,7 +39,10 @@ class Stages:
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, resume: bool = False):
+        if resume and not root:
+            raise ValueError("resume needs the root folder of the run to continue")
         self.spark = spark
+        self.named = root is not None
         self.root = root.rstrip("/") if root else f"{shared_dir(spark)}/stages-{uuid.uuid4().hex}"
         self.resume = resume
 
@@ -49,13 +53,26 @@ class Stages:
         if self.resume:
             found = self._completed(pointer)
             if found is not None:
-                return self.spark.read.parquet(found)
+                return self.spark.read.schema(df.schema).parquet(found)
         path = f"{self.root}/{name}/data-{uuid.uuid4().hex}"
         df.write.parquet(path)
-        # The pointer is written last, so a table cut short is never reused.
-        self.spark.createDataFrame([(path,)], "path string").write.mode("overwrite").json(pointer)
+        if self.named:
+            # The pointers are written last, so a table cut short is never reused.
+            done = self.spark.range(0, 1, 1, 1).select(F.lit(path).alias("path"))
+            for place in (pointer, self._current(name)):
+                done.write.mode("overwrite").json(place)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def read(self, name: str) -> DataFrame:
+        """The table an earlier run left under this name."""
+        found = self._completed(self._current(name))
+        if found is None:
+            raise FileNotFoundError(f"no completed table {name!r} in {self.root}")
+        return self.spark.read.parquet(found)
+
+    def _current(self, name: str) -> str:
+        return f"{self.root}/{name}/current"
+
     def _completed(self, pointer: str) -> str | None:
         try:
             rows = self.spark.read.schema("path string").json(pointer).take(1)
