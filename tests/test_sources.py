@@ -1,4 +1,5 @@
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,13 +63,15 @@ def test_stage_is_reused_only_with_the_same_settings(spark, tmp_path):
         Stages(spark, resume=True)
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "/shared/place/")
-        assert shared_dir(spark) == "/shared/place"
-    finally:
-        spark.conf.set("spark.checkpoint.dir", old) if old else spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_comes_from_the_session():
+    def session(master, folder):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master)
+        )
+
+    assert shared_dir(session("yarn", "/shared/place/")) == "/shared/place"
+    with pytest.raises(ValueError):
+        shared_dir(session("yarn", None))
 
 
 def test_lookups(spark, articles, transactions):
