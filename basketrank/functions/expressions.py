@@ -50,16 +50,24 @@ def ap_weight(hits_so_far: Column | str, rank: Column | str) -> Column:
     return _col(hits_so_far).cast("double") / _col(rank)
 
 
+def dot(left: Column | str, right: Column | str) -> Column:
+    """Inner product of two equally long arrays."""
+    products = F.zip_with(_col(left), _col(right), lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def unit(vector: Column | str) -> Column:
+    """The array scaled to length one; null if it has no length."""
+    vector = _col(vector)
+    length = F.sqrt(dot(vector, vector))
+    return F.when(length > 0, F.transform(vector, lambda x: x.cast("double") / length))
+
+
 def cosine(left: Column | str, right: Column | str) -> Column:
     """Cosine of two equally long arrays; null when either has no length."""
     left, right = _col(left), _col(right)
-
-    def dot(a: Column, b: Column) -> Column:
-        products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-    norm = F.sqrt(dot(left, left) * dot(right, right))
-    return F.when(norm > 0, dot(left, right) / norm)
+    length = F.sqrt(dot(left, left) * dot(right, right))
+    return F.when(length > 0, dot(left, right) / length)
 
 
 def _col(column: Column | str) -> Column:

@@ -30,6 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Mark a table for broadcast after counting that it has at most ``max_rows`` rows.
+
+    Larger tables are left alone: they are joined by a shuffle.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 class Stages:
     """Writes named intermediate tables and reads them back.
 
