@@ -347,9 +347,8 @@ add("q_missing_customers", "SELECT customer_id FROM customers WHERE customer_id
 add("q_submission", """
 SELECT customer_id, string_agg(CAST(article_id AS VARCHAR), ' ' ORDER BY rank) AS prediction
 FROM predicted GROUP BY ALL""", CANDIDATES, SCORED)
-add("q_ground_truth", """
-SELECT customer_id, string_agg(CAST(article_id AS VARCHAR), ' ' ORDER BY article_id) AS bought
-FROM truth GROUP BY ALL""", CANDIDATES, SCORED)
+add("q_ground_truth", "SELECT customer_id, article_id, n_actual AS n_bought FROM truth JOIN actual USING (customer_id)",
+    CANDIDATES, SCORED)
 add("q_ap12", f"SELECT customer_id, {r('ap')} AS ap FROM ({ap('predicted')})", CANDIDATES, SCORED)
 add("q_map12", f"SELECT {r('avg(ap)', 9)} AS map_at_12, count(*) AS n_customers FROM ({ap('predicted')})", CANDIDATES, SCORED)
 

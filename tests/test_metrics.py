@@ -29,7 +29,7 @@ def test_map_counts_customers_with_truth_and_prediction(spark, transactions):
     submission = spark.createDataFrame([("a", "0009 0001"), ("b", "0002"), ("c", "0001")], "customer_id string, prediction string")
     row = metrics.evaluate_submission(test_tx, submission).first()
     assert row.n_customers == 2 and row.map_at_12 == pytest.approx((0.5 + 1.0) / 2)
-    assert [tuple(r) for r in metrics.ground_truth(test_tx).orderBy("customer_id").collect()] == [("a", ["0001"]), ("b", ["0002"]), ("x", ["0002"])]
+    assert [tuple(r) for r in metrics.ground_truth(test_tx).orderBy("customer_id").collect()] == [("a", "0001", 1), ("b", "0002", 1), ("x", "0002", 1)]
 
 
 def test_ndcg(spark):
