@@ -47,7 +47,9 @@ def test_feature_rows_are_joined_by_three_keys(spark):
     try:
         staged = queries.Stages(spark)("pivot", pivot)
         text = plan(features.build_features(staged, statistics))
-        joins = text.count("SortMergeJoin") + text.count("ShuffledHashJoin")
+        broadcasts = text.count("BroadcastHashJoin")
+        assert broadcasts == 1  # the catalogue, counted first
+        joins = broadcasts + text.count("SortMergeJoin") + text.count("ShuffledHashJoin")
         # The subqueries for the mean prices have a join each.
         subqueries = sum("- Subquery " in line for line in text.splitlines())
         assert joins - subqueries == 3
