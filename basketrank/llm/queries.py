@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, tokencount
+from . import bpe, htmltext, repetition, tokencount
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,7 +21,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op2_byte_bpe)
+    query.__name__: query
+    for query in (op1_token_counts, op2_byte_bpe, op7_html_text, op10_quality_rules)
 }
 ORACLE: dict[str, str] = {}
