@@ -14,10 +14,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, once, pick, shared_bytes, slices
+from .common import Memo, id_and_text, once, pick, shared_bytes, slices
 
-#: Encoded words kept in a worker; the memo starts anew beyond it.
-MEMO_WORDS = 400_000
+#: Encoded words that a worker remembers, twice.
+MEMO_WORDS = 200_000
 #: A recursive query takes words whose squared lengths add up to this: a bound on the rows that all its steps make.
 ROWS_AT_ONCE = 4_000_000
 #: A word of n bytes takes up to n steps over n rows. Longer words than this (bytes) are merged with a heap instead.
@@ -83,22 +83,28 @@ class Codec:
         self.db.execute(f"SET temp_directory = '{tempfile.gettempdir()}/duckdb-{os.getpid()}'")
         self._create("merges", pa.table({"pair": pa.array([r[0] for r in rows], pa.int64()), "merged": pa.array([r[1] for r in rows], pa.int32())}))
         self._create("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": pa.array([p.hex() for p in ranks], pa.string())}))
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        self.memo = Memo(self._unknown, MEMO_WORDS)
 
     def _create(self, name: str, rows: pa.Table) -> None:
         self.db.register("rows_in", rows)
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM rows_in")
         self.db.unregister("rows_in")
 
+    @staticmethod
+    def _unknown(word: str) -> tuple[bytes, bytes]:
+        raise KeyError(word)
+
     def learn(self, words: set[str]) -> None:
         """Put (ids as little-endian 32-bit integers, decoded bytes) of new words into the memo."""
         new = []
+        self.memo.size = max(MEMO_WORDS, len(words))  # they are all needed at once
         for word in words:
-            if word in self.memo:
+            if self.memo.has(word):
+                self.memo[word]  # stays in the younger generation
                 continue
             if len(data := word.encode()) > LONG_WORD:
                 ids = self._merge_long(data)
-                self.memo[word] = (np.array(ids, "<i4").tobytes(), self.decode([ids])[0])
+                self.memo.keep(word, (np.array(ids, "<i4").tobytes(), self.decode([ids])[0]))
             else:
                 new.append((word, data))
         runs = np.cumsum([len(data) ** 2 for _, data in new]) // ROWS_AT_ONCE
@@ -121,7 +127,7 @@ class Codec:
             decoded = self.db.execute(DECODE.format(tokens="encoded")).fetchall()
             begin = 0
             for word, end, (_, text) in zip(part, ends.tolist(), decoded, strict=True):
-                self.memo[word] = (ids[begin:end], text)
+                self.memo.keep(word, (ids[begin:end], text))
                 begin = end
 
     def _merge_long(self, data: bytes) -> list[int]:
@@ -176,8 +182,6 @@ def _encoded(batches, codec: Codec, pattern: str):
     """(batch, for each row the list of (ids, decoded bytes) of its words)."""
     words_of = regex.compile(pattern)
     for batch in slices(batches):
-        if len(codec.memo) > MEMO_WORDS:
-            codec.memo.clear()
         found = [words_of.findall(text or "") for text in batch.column("text").to_pylist()]
         codec.learn(set().union(*found))
         get = codec.memo.__getitem__

@@ -62,6 +62,30 @@ def once(key: Any, build: Callable[[], Any]) -> Any:
     return _kept[key]
 
 
+class Memo(dict):
+    """Remembers what ``make`` gave for a key, at most ``2 * size`` of them: those used lately, in two generations."""
+
+    def __init__(self, make: Callable[[Any], Any], size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key: Any) -> Any:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key: Any, value: Any) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def has(self, key: Any) -> bool:
+        return key in self or key in self.old
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the folder all executors share and read it back: this cuts the lineage.
 

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, htmltext, repetition, tokencount
+from . import bpe, htmltext, packing, repetition, tokencount
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,12 +27,17 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_token_counts, op2_byte_bpe, op7_html_text, op10_quality_rules)
+    for query in (op1_token_counts, op2_byte_bpe, op7_html_text, op8_packing, op10_quality_rules)
 }
 ORACLE: dict[str, str] = {}

@@ -10,10 +10,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, once, shared_bytes, slices
+from .common import Memo, id_and_text, once, shared_bytes, slices
 
-#: Counts of words kept in a worker; the memo starts anew beyond it.
-MEMO_WORDS = 400_000
+#: Words whose counts a worker remembers, twice.
+MEMO_WORDS = 300_000
 
 
 class LongestMatch:
@@ -78,15 +78,6 @@ class LongestMatch:
         return total
 
 
-class _Counts(dict):
-    def __init__(self, automaton: LongestMatch):
-        self.automaton = automaton
-
-    def __missing__(self, word: str) -> int:
-        count = self[word] = self.automaton.count(word.encode())
-        return count
-
-
 def pieces_of(rank_file: bytes) -> list[bytes]:
     """The byte strings of a rank file: a piece in base64 and its rank on each line."""
     return [base64.b64decode(line.split()[0]) for line in rank_file.splitlines() if line.strip()]
@@ -106,7 +97,7 @@ def token_counts(
 
     def count(batches):
         automaton = once(("longest match", vocabulary), lambda: LongestMatch(pieces_of(content.value)))
-        counts = once(("longest match counts", vocabulary, pattern), lambda: _Counts(automaton))
+        counts = once(("longest match counts", vocabulary), lambda: Memo(lambda word: automaton.count(word.encode()), MEMO_WORDS))
         words_of = regex.compile(pattern)
         for batch in slices(batches):
             words, tokens = [], []
@@ -115,15 +106,11 @@ def token_counts(
                     own = total = 0
                     for match in words_of.finditer(text):
                         own, total = own + 1, total + counts[match[0]]
-                        if len(counts) > MEMO_WORDS:
-                            counts.clear()
                 else:
                     found = words_of.findall(text or "")
                     own, total = len(found), sum(map(counts.__getitem__, found))
                 words.append(own)
                 tokens.append(total)
-                if len(counts) > MEMO_WORDS:
-                    counts.clear()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())],
                 [id_col, "n_words", "n_tokens"],
