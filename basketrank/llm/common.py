@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 from typing import Any
 
 import numpy as np
@@ -18,9 +22,25 @@ from basketrank.sources.storage import shared_dir
 BLANKS = "\t\n\x0b\x0c\r "
 
 _kept: dict[Any, Any] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package, however the driver found it."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    seen = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if (context.master.startswith("local") and root in {Path(p).resolve() for p in seen if p}) or context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="run-"), "basketrank.zip")
+    with zipfile.ZipFile(archive, "w") as file:
+        for module in sorted((root / "basketrank").rglob("*.py")):
+            file.write(module, module.relative_to(root))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
