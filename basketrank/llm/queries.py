@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, packing, repetition, tokencount, toxicity
+from . import bpe, exactdedup, htmltext, packing, repetition, tokencount, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
@@ -42,6 +46,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_token_counts, op2_byte_bpe, op7_html_text, op8_packing, op9_toxicity, op10_quality_rules)
+    for query in (op1_token_counts, op2_byte_bpe, op4_exact_dedup, op7_html_text, op8_packing, op9_toxicity, op10_quality_rules)
+}
+ORACLE: dict[str, str] = {
+    "op4_exact_dedup": r"""
+        WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS own FROM documents)
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, sha256(own) AS text_sha256
+        FROM texts WINDOW same AS (PARTITION BY own)
+    """,
 }
-ORACLE: dict[str, str] = {}
