@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -14,11 +15,15 @@ from tokenizers import Tokenizer
 from .common import Memo, id_and_text, once, shared_bytes, slices
 
 #: Words, and pieces of words, whose ids a worker remembers, twice.
-MEMO_WORDS, MEMO_PIECES = 300_000, 150_000
+MEMO_WORDS, MEMO_PIECES = 500_000, 300_000
 #: Windows held open by a task, at most 16 KB of ids each; beyond it they are consolidated.
 MAX_OPEN = 4096
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokenizer:
     """Ids of texts, word by word, for tokenizers whose tokens never reach over white space.
 
@@ -43,12 +48,15 @@ class WordTokenizer:
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         if self.latin.fullmatch(text):
-            return b"".join(map(self.pieces.__getitem__, self.pieces_of.findall(text.lower())))
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            text = text.lower()
+            if text.isalpha():
+                return self.pieces[text]
+            return b"".join(map(self.pieces.__getitem__, self.pieces_of.findall(text)))
+        return _bytes(self.whole.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         tokens = self.whole.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))
-        return np.array([token.id for token in tokens], "<u4").tobytes()
+        return _bytes([token.id for token in tokens])
 
     def ids(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
