@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exactdedup, htmltext, licenses, packing, repetition, tokencount, toxicity
+from . import bpe, exactdedup, htmltext, licenses, neardedup, packing, repetition, tokencount, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +27,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_token_counts, op2_byte_bpe, op4_exact_dedup, op6_license_scan, op7_html_text, op8_packing, op9_toxicity, op10_quality_rules)
+    for query in (
+        op1_token_counts, op2_byte_bpe, op4_exact_dedup, op5_minhash_near_dedup, op6_license_scan,
+        op7_html_text, op8_packing, op9_toxicity, op10_quality_rules,
+    )
 }
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": r"""
