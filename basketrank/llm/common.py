@@ -61,7 +61,7 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def slices(
-    batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 2 << 20, rows: int = 1024
+    batches: Iterable[pa.RecordBatch], column: str | int = "text", limit: int = 2 << 20, rows: int = 1024
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a piece holds about ``limit`` bytes of text, or a single longer row."""
     for batch in batches:

@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLANKS, id_and_text, slices, staged
@@ -157,3 +157,26 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("id").alias(id_col), keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col("id").eqNullSafe(keep_id).alias("kept"), "text_sha256",
     )
+
+
+def normal_sha256(text: Column) -> Column:
+    """``text_sha256`` as a column expression."""
+    return F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", " "), 256)
+
+
+def distinct_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row, with all its columns, of each group of equal texts: one of those with the smallest id."""
+    found = staged(exact_duplicates(df, id_col, text_col).select(F.col(id_col).alias("id"), "kept", "text_sha256"), "verdicts")
+    rows, ids = found.agg(F.count("*"), F.countDistinct("id")).first()
+    names = [f"_{i}" for i in range(len(df.columns))]
+    own = df.toDF(*names)
+    doc, text = F.col(names[df.columns.index(id_col)]), F.col(names[df.columns.index(text_col)])
+    if rows == ids:
+        return own.join(found.where("NOT kept").select("id"), doc == F.col("id"), "left_anti").toDF(*df.columns)
+    # Ids that are null or not unique need the text beside them.
+    own = own.withColumn("_sha", normal_sha256(text))
+    same = doc.eqNullSafe(F.col("id")) & (F.col("_sha") == F.col("text_sha256"))
+    repeated = staged(found.groupBy("id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1").select("id", "text_sha256"), "repeated")
+    own = own.join(found.where("NOT kept").select("id", "text_sha256"), same, "left_anti")
+    once = own.join(repeated, same, "left_semi").dropDuplicates([names[df.columns.index(id_col)], "_sha"])
+    return own.join(repeated, same, "left_anti").unionByName(once).drop("_sha").toDF(*df.columns)

@@ -277,3 +277,13 @@ def near_duplicates(
     return own.select("id", "n_shingles", "digest").join(named, "digest", "left").select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
+
+
+def representatives(
+    df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, that ``near_duplicates`` keeps: the smallest id of each component."""
+    found = near_duplicates(df, size, percent, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("id")).distinct()
+    names = [f"_{i}" for i in range(len(df.columns))]
+    doc = F.col(names[df.columns.index(id_col)])
+    return df.toDF(*names).join(found, doc == F.col("id"), "left_anti").toDF(*df.columns)

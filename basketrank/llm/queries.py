@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exactdedup, htmltext, licenses, neardedup, packing, repetition, tokencount, toxicity
+from . import bpe, exactdedup, htmltext, licenses, neardedup, packing, pseudolm, repetition, tokencount, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudolm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op1_token_counts, op2_byte_bpe, op4_exact_dedup, op5_minhash_near_dedup, op6_license_scan,
+        op1_token_counts, op2_byte_bpe, op3_lm_score, op4_exact_dedup, op5_minhash_near_dedup, op6_license_scan,
         op7_html_text, op8_packing, op9_toxicity, op10_quality_rules,
     )
 }

@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import BLANKS, id_and_text, slices
 
@@ -158,21 +157,32 @@ def repetition(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     arrays of about 2 MB of text, or of one longer text, at a time.
     """
 
+    names = [name.split()[0] for name in COLUMNS.split(", ")]
+
     def run(batches):
         for batch in slices(batches):
             found = measure(batch.column("text").to_pylist())
-            names = [name.split()[0] for name in COLUMNS.split(", ")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(found[name], pa.int64()) for name in names)], [id_col, *names]
+                [batch.column("id"), *(pa.array(found[name], pa.int64()) for name in names), *map(pa.array, verdicts(found))],
+                [id_col, *names, "base_failed", "kept"],
             )
 
-    measured = id_and_text(df, id_col, text_col).mapInArrow(run, f"`{id_col}` long, {COLUMNS}")
-    return judged(measured)
+    return id_and_text(df, id_col, text_col).mapInArrow(run, f"`{id_col}` long, {COLUMNS}, base_failed boolean, kept boolean")
+
+
+def verdicts(found: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(whether the base rules fail, whether the text is kept) for measured texts."""
+    n, covered, longest = (np.array(found[name], np.int64) for name in ("n_words", "covered_words", "longest_repeat"))
+    base_failed = (n < MIN_WORDS) | (100 * np.array(found["n_repeat_words"], np.int64) > MAX_REPEATED_PERCENT * n)
+    return base_failed, ~base_failed & (covered <= MAX_COVERED * n) & (longest <= MAX_LONGEST)
 
 
-def judged(measured: DataFrame) -> DataFrame:
-    """Add the verdicts to measured rows."""
-    n = F.col("n_words")
-    base_failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * n)
-    clean = (F.col("covered_words") <= MAX_COVERED * n) & (F.col("longest_repeat") <= MAX_LONGEST)
-    return measured.withColumn("base_failed", base_failed).withColumn("kept", ~base_failed & clean)
+def clean_rows(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text is kept: no shuffle, no join by id."""
+    place = df.columns.index(text_col)
+
+    def run(batches):
+        for batch in slices(batches, place):
+            yield batch.filter(pa.array(verdicts(measure(batch.column(place).to_pylist()))[1]))
+
+    return df.mapInArrow(run, df.schema)

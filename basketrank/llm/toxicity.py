@@ -22,6 +22,8 @@ MAX_FEATURES, MIN_DOCUMENTS, MIN_GAIN = 800, 5, 16.0
 SEVERITIES = 3
 #: Log-odds from which a feature counts as a toxic word when training documents are graded.
 STRONG = 2.0
+#: Documents are toxic from this probability of any grade above 0 on.
+LIMIT = 0.5
 STEPS, RATE, PENALTY = 600, 0.05, 1e-5
 MEMO_WORDS = 200_000
 
@@ -216,16 +218,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches):
         finder = Finder(model.features)
         for batch in slices(batches):
-            found = [
-                _counts(finder.hits(*row))
-                for row in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)
-            ]
-            rows = np.repeat(np.arange(len(found)), [len(own) for own in found])
-            places = np.array([place for own in found for place in own], np.int64)
-            counts = np.array([n for own in found for n in own.values()], np.float64)
-            above = model.exceed(counts, places, rows, len(found))
-            chance = -np.diff(np.concatenate((np.ones((len(found), 1)), above, np.zeros((len(found), 1))), axis=1), axis=1)
-            toxic = above[:, 0] >= 0.5
+            above = _above(model, finder, batch.column("lang").to_pylist(), batch.column("text").to_pylist())
+            chance = -np.diff(np.concatenate((np.ones((len(above), 1)), above, np.zeros((len(above), 1))), axis=1), axis=1)
+            toxic = above[:, 0] >= LIMIT
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(above.sum(axis=1)), pa.array(above[:, 0]), pa.array(chance.argmax(axis=1), pa.int32()), pa.array(toxic), pa.array(~toxic)],
                 [id_col, "severity", "p_toxic", "grade", "toxic", "kept"],
@@ -236,6 +231,29 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     )
 
 
+def _above(model: Model, finder: Finder, langs: list[str | None], texts: list[str | None]) -> np.ndarray:
+    """P(grade >= k) of each document."""
+    found = [_counts(finder.hits(*row)) for row in zip(langs, texts, strict=True)]
+    rows = np.repeat(np.arange(len(found)), [len(own) for own in found])
+    places = np.array([place for own in found for place in own], np.int64)
+    counts = np.array([n for own in found for n in own.values()], np.float64)
+    return model.exceed(counts, places, rows, len(found))
+
+
+def clean_rows(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows, with all their columns, that are not toxic: no shuffle, no join by id."""
+    place = docs.columns.index(text_col)
+    lang = docs.columns.index(lang_col) if lang_col in docs.columns else None
+
+    def run(batches):
+        finder = Finder(model.features)
+        for batch in slices(batches, place):
+            langs = [None] * batch.num_rows if lang is None else batch.column(lang).to_pylist()
+            yield batch.filter(pa.array(_above(model, finder, langs, batch.column(place).to_pylist())[:, 0] < LIMIT))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
     """``predict`` with a model fitted on ``labels (doc_id, toxic)`` of the same documents."""
     return predict(docs, fit(docs, labels, **columns), **columns)
