@@ -1,0 +1,196 @@
+"""Quality rules, toxicity, licenses, page text, language model."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from basketrank.llm import htmltext, licenses, pseudolm, queries, repetition, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def repeats_brute(text):
+    words = (text or "").encode().split()
+    n, windows, marked = len(words), {}, set()
+    for i in range(n - 4):
+        windows.setdefault(tuple(words[i : i + 5]), []).append(i)
+    for places in windows.values():
+        if len(places) > 1:
+            marked.update(j for i in places for j in range(i, i + 5))
+    depth = [0] * n
+    for i in range(n):
+        for j in range(i + 1, n):
+            k = 0
+            while j + k < n and words[i + k] == words[j + k]:
+                k += 1
+            depth[i], depth[j] = max(depth[i], k), max(depth[j], k)
+    covered = {j for i, k in enumerate(depth) if k >= repetition.MIN_REPEAT for j in range(i, i + k)}
+    return n, len(marked), len(covered), max([k for k in depth if k >= repetition.MIN_REPEAT], default=0)
+
+
+def test_repeats_equal_brute_force():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[: rng.choice([1, 2, 3, 8, 26])]) for _ in range(rng.randrange(60))) for _ in range(250)]
+    texts += [None, "", "x", " x  y\n", "a b c d e f g h " * 6]
+    found = repetition.measure(texts)
+    got = list(zip(*(found[name] for name in ("n_words", "n_repeat_words", "covered_words", "longest_repeat")), strict=True))
+    assert got == [repeats_brute(text) for text in texts]
+
+
+def test_base_counts(odd, empty, clashing):
+    rows = {(r.doc_id, r.n_words): r for r in repetition.repetition(odd).collect()}
+    for doc, text in [(r.doc_id, r.text or "") for r in odd.collect()]:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        row = rows[doc, len(words)]
+        assert row.word_chars == sum(map(len, words)) and row.n_symbols == len(re.findall(r"[#*$%&|<>]", text))
+    found = repetition.measure(["a\nb\na\n\n\n a\na", "#*$%&|<>"])
+    assert found["n_dup_lines"] == [2, 0] and found["n_symbols"] == [0, 8]
+    assert repetition.repetition(empty).collect() == [] and repetition.repetition(clashing).count() == 2
+
+
+def test_verdicts(documents):
+    rng = random.Random(1)
+    fresh = " ".join(str(rng.random()) for _ in range(400))
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, fresh), (2, "too few words"), (3, "again and again we say so " * 30), (4, f"{fresh} {passage} {fresh[::-1]} {passage}")]
+    found = {r.doc_id: (r.base_failed, r.kept) for r in repetition.repetition(documents(rows)).collect()}
+    # The last passes the base rules; its repeat of 60 words does not pass the method's.
+    assert found == {1: (False, True), 2: (True, False), 3: (True, False), 4: (False, False)}
+    assert [r.doc_id for r in repetition.clean_rows(documents(rows)).collect()] == [1]
+
+
+def test_quality_query_over_the_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.op10_quality_rules(spark, SF).collect():
+        if r.n_words < 400:
+            assert (r.n_words, r.n_repeat_words, r.covered_words, r.longest_repeat) == repeats_brute(texts[r.doc_id])
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = F.xxhash64("doc_id") % 5 == 0
+    model = toxicity.fit(docs, labels.where(~held))
+    return model, toxicity.predict(docs, model).join(labels.where(held).select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
+
+
+def test_held_out_toxicity(labelled):
+    model, rows = labelled
+    toxic, clean = [r for r in rows if r.label == 1], [r for r in rows if r.label == 0]
+    assert sum(r.toxic for r in toxic) >= 0.9 * len(toxic) and sum(r.toxic for r in clean) <= 0.01 * len(clean)
+    assert all(a < b for a, b in zip(model.thresholds, model.thresholds[1:], strict=False))
+    assert np.mean([r.severity for r in toxic]) > 1 > 0.1 > np.mean([r.severity for r in clean])
+    assert all(0 <= r.severity <= toxicity.SEVERITIES and r.kept == (not r.toxic) for r in rows)
+
+
+def test_toxicity_of_odd_rows(spark, labelled, odd, empty, clashing):
+    model, _ = labelled
+    assert toxicity.predict(odd, model).count() == odd.count() and toxicity.predict(empty, model).count() == 0
+    assert toxicity.predict(clashing, model).count() == 2
+    assert toxicity.clean_rows(odd, model).columns == odd.columns
+    no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.fit(odd, no_labels).constant == 0.0 and not any(r.toxic for r in toxicity.toxicity(odd, no_labels).collect())
+    nulls = spark.createDataFrame([(1, 0, None), (None, 0, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.fit(odd, nulls).constant == 0.0
+    assert toxicity.fit(empty, nulls).constant == 0.0
+
+
+def test_license_phrases_and_notices(documents):
+    rows = [
+        (1, "Licensed under CC BY-NC 4.0."), (2, "This work is licensed under the GNU General Public License, version 3."),
+        (3, "x All rights reserved. y, ALL RIGHTS  reserved"), (4, "all rights are reserved"), (5, "Released under the MIT License."),
+        (6, "licensed under the very same apache license version 2.0"), (7, "public license general"), (8, "cc by cc by"), (9, "über all ünd"),
+    ]
+    found = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for r in licenses.license_scan(documents(rows)).collect()}
+    assert found[1] == (7, 1, 2, 2, "cc-by", "cc-by,cc-by-nc")
+    assert found[2] == (12, 1, 7, 7, "gpl", "gpl")
+    assert found[3] == (8, 2, 1, 5, "reserved", "reserved")
+    assert found[4] == (4, 0, None, None, "", "")
+    assert found[5] == (5, 0, None, None, "", "mit")
+    assert found[6][5] == "apache-2.0"  # neighbouring diagonals
+    assert found[7][1:] == (0, None, None, "", "") and found[8][1:4] == (2, 0, 2) and found[9][0] == 3
+
+
+def test_license_scan_of_odd_rows(odd, empty, clashing):
+    rows = licenses.license_scan(odd).collect()
+    assert len(rows) == odd.count() and all(r.n_base == 0 and r.first_word is None and 0 <= r.score <= 1 for r in rows)
+    assert licenses.license_scan(empty).collect() == []
+    assert {(r.doc_id, r.n_words) for r in licenses.license_scan(clashing).collect()} == {(1, 3), (2, 0)}
+
+
+def test_license_scan_is_native(documents):
+    text = licenses.license_scan(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", text)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="no-sidebar"><nav><ul><li><a href="/">Home</a></li></ul></nav>
+<div class="cookie-notice">We use cookies on this very site for all of you</div>%s<footer>&copy; someone, all of it</footer></body></html>"""
+
+
+@pytest.mark.parametrize(("article", "text"), [
+    ("<article><h1>Ti tle</h1><p>one &amp; two<p>three\n four<br>five<script>x<y</script></article>", "Ti tle\none & two\nthree four five"),
+    ("<article><header><h1>Head</h1></header><p>a b</p><aside>no no</aside><div class=ad>buy</div><p>c</p><footer>by me</footer></article>", "Head\na b\nc"),
+    ("<div id=content><p>alpha beta gamma</p><form><input><label>mail</label></form><p>delta</p></div><div class='comments'><p>first comment, a long one with many words</p></div>", "alpha beta gamma\ndelta"),
+    ("<article></article>", ""), ("<article><p>a < b &lt; c &#233;&amp", "a < b < c é&"),
+    ("<main><table><tr><td>x</td><td>y</td></tr></table><!-- no --><p>z</p></main>", "x\ny\nz"),
+])
+def test_page_text(article, text):
+    assert htmltext.main_text(PAGE % article) == text
+
+
+def test_pages_of_the_table(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = [re.sub(r"<(/?b|br)>", lambda m: " " if m[0] == "<br>" else "", part) for part in re.split(r"</?(?:h1|p)>", inner)]
+        expected = [" ".join(htmltext.html.unescape(block).split()) for block in blocks]
+        assert htmltext.main_text(r.html) == "\n".join(filter(None, expected))
+
+
+def test_extract_handles_odd_pages(spark):
+    pages = spark.createDataFrame([(1, None, None, "x"), (None, "u", "", "x"), (3, "u", "<p", "x"), (3, "u", "plain words", "x")], "page_id long, url string, html string, TEXT string")
+    found = sorted(((r.page_id, r.text, r.n_chars) for r in htmltext.extract(pages).collect()), key=str)
+    assert found == sorted([(1, "", 0), (None, "", 0), (3, "", 0), (3, "plain words", 11)], key=str)
+    assert htmltext.extract(pages.limit(0)).collect() == []
+
+
+def test_weights_come_from_the_labelled_pages():
+    assert {"nav", "footer", ".ad", ".comments", "form"} <= htmltext.WEIGHTS.others
+    assert htmltext.WEIGHTS.odds["article"] > 0 and "p" not in htmltext.WEIGHTS.others
+    assert htmltext.best_run([-1, 2, -1, 3, -9, 3]) == (1, 4) and htmltext.best_run([-1.0]) == (0, 0) and htmltext.best_run([]) == (0, 0)
+
+
+def test_windows_stay_within_documents():
+    context, word, doc = pseudolm.Vocabulary(["a", "b"]).windows(["a b a", None, "B"])
+    edge = pseudolm.EDGE
+    assert word.tolist() == [0, 1, 0, 1] and doc.tolist() == [0, 0, 0, 2]
+    assert context.tolist() == [[edge, edge, 1, 0], [edge, 0, 0, edge], [0, 1, edge, edge], [edge] * 4]
+
+
+def test_gradient_of_the_network():
+    rng = np.random.default_rng(0)
+    net = pseudolm.Network.fresh(np.full(pseudolm.EDGE, 1 / pseudolm.EDGE))
+    context, word = rng.integers(0, pseudolm.EDGE, (50, 2 * pseudolm.REACH)).astype(np.uint8), rng.integers(0, 20, 50)
+    start, loss = net.flat().astype(float), lambda flat: -pseudolm.Network.of_flat(flat).log_probability(context, word).mean()
+    net.train(context, word, 1.0)
+    moved = start - net.flat()
+    for place in rng.choice(np.flatnonzero(np.abs(moved) > 1e-3), 6):
+        step = np.zeros(len(start))
+        step[place] = 1e-2
+        assert (loss(start + step) - loss(start - step)) / 2e-2 == pytest.approx(moved[place], rel=0.1, abs=2e-4)
+
+
+def test_language_model_learns_from_both_sides(documents, empty, odd):
+    rng = random.Random(5)
+    def sentence():
+        return " ".join(f"{w} middle{w} {w}" for w in (rng.choice(["red", "blue", "green"]) for _ in range(200)))
+    docs = documents([(i, sentence()) for i in range(60)])
+    model = pseudolm.fit(docs, passes=6)
+    shuffled = [(1, sentence()), (2, " ".join(rng.sample((s := sentence().split()), len(s)))), (3, None)]
+    found = {r.doc_id: r for r in pseudolm.score(documents(shuffled), model).collect()}
+    assert found[1].per_word > found[2].per_word + 0.3
+    assert found[3].n_words == 0 and found[3].log_likelihood == 0 and found[3].per_word is None
+    assert found[1].log_likelihood == pytest.approx(found[1].per_word * found[1].n_words)
+    assert pseudolm.lm_scores(empty).collect() == [] and pseudolm.lm_scores(odd).count() == odd.count()
