@@ -417,3 +417,19 @@ add("q_embedding_similarity", f"""
 )
 SELECT customer_id, article_id, {r('coalesce(similarity, 0)')} AS embedding_similarity
 FROM pairs LEFT JOIN similar_pairs USING (customer_id, article_id)""", CANDIDATES, SCORED)
+
+# --- round trips and checks of fitted results ---------------------------------
+
+add("q_csv_round_trip", f"""
+SELECT CAST(t_dat AS VARCHAR) AS t_dat, lpad(CAST(customer_id AS VARCHAR), 10, '0') AS customer_id,
+       lpad(CAST(article_id AS VARCHAR), 10, '0') AS article_id, {r('price', 4)} AS price, prod_name, product_type_no,
+       department_no, colour_group_code, age, club_member_status, fashion_news_frequency
+FROM transactions JOIN articles USING (article_id) JOIN customers USING (customer_id)""")
+add("q_parquet_round_trip", f"{TX_OUT} transactions")
+add("q_als_checks", """
+SELECT customer_id, least(100, (SELECT count(DISTINCT article_id) FROM interactions) - count(*)) AS n_given,
+       CAST(0 AS BIGINT) AS n_bought
+FROM interactions GROUP BY customer_id
+HAVING (SELECT count(DISTINCT article_id) FROM interactions) > count(*)""", CANDIDATES)
+add("q_pca_checks", """
+SELECT count(*) AS n_vectors, TRUE AS centred, TRUE AS uncorrelated, TRUE AS falling FROM embeddings""")

@@ -7,27 +7,23 @@ that the results can be compared with another engine's.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import RANKER
 from ..functions import age_group
 from ..operators import (
     ablation, candidates, factorisation, features, lookup, metrics, predict, ranker, sampling, stats, vectors,
 )
 from ..operators.candidates import PAIR
-from ..sources import Inputs, Stages, table_sizes
+from ..sources import Inputs, Stages, load_inputs, read_tables, shared_dir, table_sizes, write_csv, write_parquet
 from .testdata import article_vectors, bind
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Few and shallow trees: the rows-only checks ask for a working ranker, not a good one.
-SHORT_RANKER = replace(RANKER, rounds=5, max_depth=5, learning_rate=0.1, stage_every=3)
-
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -128,6 +124,37 @@ def q_load_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(bind(spark, sf_dir).transactions)
 
 
+@query
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three tables written as text, with padded ids, and read back by their column names."""
+    inputs, folder = bind(spark, sf_dir), f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+
+    def padded(df: DataFrame, *ids: str) -> DataFrame:
+        own = df.withColumns({name: F.lpad(F.col(name).cast("string"), 10, "0") for name in ids})
+        return own.select(*sorted(own.columns, reverse=True))
+
+    write_csv(padded(inputs.transactions, "customer_id", "article_id"), f"{folder}/transactions_train.csv")
+    write_csv(padded(inputs.articles, "article_id"), f"{folder}/articles.csv")
+    write_csv(padded(inputs.customers, "customer_id"), f"{folder}/customers.csv")
+    back = load_inputs(spark, folder, inputs.calendar)
+    joined = back.transactions.join(back.articles, "article_id").join(back.customers, "customer_id")
+    return tidy(joined.select(
+        "t_dat", "customer_id", "article_id", "price", "prod_name", "product_type_no", "department_no", "colour_group_code",
+        F.col("age").cast("int").alias("age"), "club_member_status", "fashion_news_frequency",
+    ))
+
+
+@query
+def q_parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases written in folders by month and read back from a list of folders and a glob."""
+    inputs, folder = bind(spark, sf_dir), f"{shared_dir(spark)}/parquet-{uuid.uuid4().hex}"
+    even = F.col("customer_id") % 2 == 0
+    write_parquet(inputs.transactions.where(even).withColumn("year", F.year("t_dat")), f"{folder}/even", "year")
+    write_parquet(inputs.transactions.where(~even), f"{folder}/odd")
+    back = read_tables(spark, f"{folder}/even/year=*").unionByName(read_tables(spark, f"{folder}/odd"))
+    return tidy(back)
+
+
 @query
 def q_table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_sizes(bind(spark, sf_dir))
@@ -437,6 +464,17 @@ def q_ndcg12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(metrics.ndcg(_labelled(bind(spark, sf_dir))))
 
 
+@query
+def q_als_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer: how many articles ALS gives, and how many of them were bought already."""
+    recent = _staged_recent(bind(spark, sf_dir))
+    given = Stages(spark)("als", factorisation.als_candidates(recent).select(*PAIR))
+    bought = factorisation.interactions(recent).select(*PAIR, F.lit(1).alias("bought"))
+    return given.join(bought, PAIR, "left").groupBy("customer_id").agg(
+        F.countDistinct("article_id").alias("n_given"), F.count("bought").alias("n_bought")
+    )
+
+
 @query
 def q_lambdas(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ranker.with_ideal(_labelled(bind(spark, sf_dir)))
@@ -447,7 +485,7 @@ def _fitted(spark: SparkSession, sf_dir: str) -> tuple[ranker.Ranker, DataFrame]
     stages = Stages(spark)
     table = stages("features", _feature_table(spark, bind(spark, sf_dir), labels=True, mode="fixed"))
     sampled = stages("sampled", sampling.sample_negatives(table, ratio=10))
-    return ranker.fit_ranker(sampled, SHORT_RANKER, stages=stages), table
+    return ranker.fit_ranker(sampled, stages=stages), table
 
 
 @query
@@ -555,6 +593,27 @@ def q_vector_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(vectors.vector_columns(article_vectors(spark, sf_dir), 64))
 
 
+@query
+def q_pca_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the reduced vectors have mean 0, no covariance between dimensions and falling variances."""
+    table = article_vectors(spark, sf_dir)
+    reduced = Stages(spark)("reduced", vectors.reduce_vectors(vectors.fit_pca(table), table))
+    places = range(vectors.IMAGE_DIMS)
+    value = [F.col("vector")[i].cast("double") for i in places]
+    row = reduced.agg(
+        F.count(F.lit(1)).alias("n_vectors"), *[F.avg(v).alias(f"m{i}") for i, v in enumerate(value)],
+        *[F.var_pop(v).alias(f"v{i}") for i, v in enumerate(value)],
+        *[F.corr(value[i], value[i + 1]).alias(f"c{i}") for i in places if i + 1 in places],
+    )
+    spread = F.sqrt("v0")
+    return row.select(
+        "n_vectors",
+        F.forall(F.array(*[f"m{i}" for i in places]), lambda m: F.abs(m) < 1e-5 * spread).alias("centred"),
+        F.forall(F.array(*[f"c{i}" for i in places[:-1]]), lambda c: F.abs(c) < 1e-3).alias("uncorrelated"),
+        F.forall(F.array(*[F.struct(F.col(f"v{i}").alias("a"), F.col(f"v{i + 1}").alias("b")) for i in places[:-1]]), lambda p: p["a"] >= p["b"]).alias("falling"),
+    )
+
+
 @query
 def q_pca32(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = article_vectors(spark, sf_dir)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_dirs:
         folder = tempfile.mkdtemp(prefix="run-")
@@ -30,20 +31,53 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Mark a table for broadcast after counting that it has at most ``max_rows`` rows.
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 500_000, 64 << 20
+#: Parts that a popular key's rows are dealt out to where a table is too large to be broadcast.
+SPREAD = 32
 
-    Larger tables are left alone: they are joined by a shuffle.
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a table has at most so many rows and bytes (as text), from one scan that ends early if not."""
+    text = F.length(F.to_json(F.struct("*"))).cast("long")
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(text)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark a table for broadcast after measuring that it is small; larger ones are joined by a shuffle."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def join_catalogue(rows: DataFrame, catalogue: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Left join of many rows with a table that has one row for each ``key``.
+
+    A few keys hold most of the rows. A small table is broadcast, which spares
+    them a shuffle; of a larger one every row goes to ``SPREAD`` parts, among
+    which the rows of a key are dealt out by ``spread_by``.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if fits_broadcast(catalogue):
+        return rows.join(F.broadcast(catalogue), key, "left")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    spread = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int"))
+    return spread.join(catalogue.withColumn("_part", parts), [key, "_part"], "left").drop("_part")
+
+
+def content_mark(df: DataFrame) -> str:
+    """A mark that changes with the rows of a table, not with their order: one scan, one row to the driver."""
+    rows, total = df.agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)"))
+    ).first()
+    return f"{df.schema.simpleString()} {rows} {total}"
 
 
 class Stages:
     """Writes named intermediate tables and reads them back.
 
-    A written table cuts the lineage and survives lost executors. With
-    ``resume`` a table is reused only if it was completed under the same
-    parameter fingerprint; otherwise every call recomputes.
+    A written table cuts the lineage and survives lost executors. With ``resume``
+    a table is reused only if the last one under its name was completed with the
+    same parameters, among which the caller puts a ``content_mark`` of what the
+    table is made from; otherwise every call recomputes. A named table has two
+    folders in turn, so that the last complete one stays until the next is.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, resume: bool = False):
@@ -57,36 +91,36 @@ class Stages:
     def __call__(
         self, name: str, df: DataFrame, params: Mapping[str, object] | None = None
     ) -> DataFrame:
-        pointer = f"{self.root}/{name}/done-{_fingerprint(df, params)}"
-        if self.resume:
-            found = self._completed(pointer)
-            if found is not None:
-                return self.spark.read.schema(df.schema).parquet(found)
-        path = f"{self.root}/{name}/data-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        if self.named:
-            # The pointers are written last, so a table cut short is never reused.
-            done = self.spark.range(0, 1, 1, 1).select(F.lit(path).alias("path"))
-            for place in (pointer, self._current(name)):
-                done.write.mode("overwrite").json(place)
-        return self.spark.read.schema(df.schema).parquet(path)
+        if not self.named:
+            return self._written(df, f"{self.root}/{name}/data-{uuid.uuid4().hex}")
+        fingerprint, last = _fingerprint(df, params), self._last(name)
+        if self.resume and last is not None and last.fingerprint == fingerprint:
+            return self.spark.read.schema(df.schema).parquet(last.path)
+        paths = [f"{self.root}/{name}/data-{i}" for i in range(2)]
+        path = paths[last is not None and last.path == paths[0]]
+        table = self._written(df, path)
+        # The pointer is written last, so a table cut short is never reused.
+        done = self.spark.range(0, 1, 1, 1).select(F.lit(path).alias("path"), F.lit(fingerprint).alias("fingerprint"))
+        done.write.mode("overwrite").json(f"{self.root}/{name}/last")
+        return table
 
     def read(self, name: str) -> DataFrame:
         """The table an earlier run left under this name."""
-        found = self._completed(self._current(name))
-        if found is None:
+        last = self._last(name)
+        if last is None:
             raise FileNotFoundError(f"no completed table {name!r} in {self.root}")
-        return self.spark.read.parquet(found)
+        return self.spark.read.parquet(last.path)
 
-    def _current(self, name: str) -> str:
-        return f"{self.root}/{name}/current"
+    def _written(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def _completed(self, pointer: str) -> str | None:
+    def _last(self, name: str):
         try:
-            rows = self.spark.read.schema("path string").json(pointer).take(1)
+            rows = self.spark.read.schema("path string, fingerprint string").json(f"{self.root}/{name}/last").take(1)
         except AnalysisException:
             return None
-        return rows[0].path if rows else None
+        return rows[0] if rows else None
 
 
 def _fingerprint(df: DataFrame, params: Mapping[str, object] | None) -> str:

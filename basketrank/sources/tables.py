@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ..config import Calendar
 
 # Ids are strings so that leading zeros survive. CSV columns are found by name,
-# in whatever order the file has them, and further columns are never parsed.
+# in whatever order the files have them, and further columns are never parsed.
 TRANSACTIONS = {"t_dat": "date", "customer_id": "string", "article_id": "string", "price": "double"}
 ARTICLES = {
     "article_id": "string", "prod_name": "string", "product_type_no": "int",
     "colour_group_code": "int", "department_no": "int", "perceived_colour_value_id": "int",
 }
+SUBMISSION = {"customer_id": "string", "prediction": "string"}
 CUSTOMERS = {
     "customer_id": "string", "age": "double", "club_member_status": "string",
     "fashion_news_frequency": "string",
@@ -54,8 +55,14 @@ class Inputs:
 
 
 def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """Read named columns of a headed CSV with fixed types."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Read named columns of headed CSV files with fixed types.
+
+    All files of ``path`` must have the same header; one with other columns, or
+    with the same ones in another order, is an error and never read by place.
+    """
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).schema
+    # Columns are chosen after parsing: the header of a file is only compared whole.
+    raw = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(path)
     return raw.select(*[_parse(name, kind).alias(name) for name, kind in columns.items()])
 
 
@@ -81,8 +88,7 @@ def read_tables(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_submission(spark: SparkSession, path: str) -> DataFrame:
-    schema = "customer_id string, prediction string"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return read_csv(spark, path, SUBMISSION)
 
 
 def table_sizes(inputs: Inputs) -> DataFrame:

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketrank.operators.lookup import only_customers, recent_purchases, recommendation_lookup
-from basketrank.sources import Stages, load_inputs, read_submission, read_tables, shared_dir, table_sizes, write_csv, write_parquet
+from basketrank.sources import storage
+from basketrank.sources.tables import TRANSACTIONS, read_csv
+from basketrank.sources import Stages, content_mark, join_catalogue, load_inputs, read_submission, read_tables, shared_dir, table_sizes, write_csv, write_parquet
 
 
 @pytest.fixture()
@@ -35,6 +37,51 @@ def test_csv_scan_keeps_ids_as_text_and_finds_columns_by_name(spark, csv_dir, ca
     assert sizes == {"transactions": (3, 4), "train_tx_clean": (1, 4), "articles": (1, 6), "customers": (2, 4)}
 
 
+def test_files_with_other_headers_are_refused(spark, csv_dir, calendar, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("t_dat,customer_id,article_id,price\n2020-09-05,00a,0108775015,0.05\n")
+    assert read_csv(spark, str(folder), TRANSACTIONS).count() == 1
+    (folder / "b.csv").write_text("t_dat,article_id,customer_id,price\n2020-09-05,0108775015,00a,0.05\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(folder), TRANSACTIONS).collect()
+
+
+def test_submission_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("prediction,customer_id\n0108775015 0108775044,00a\n")
+    assert tuple(read_submission(spark, str(tmp_path / "s.csv")).first()) == ("00a", "0108775015 0108775044")
+
+
+def test_content_mark_follows_the_rows_only(spark):
+    rows = [(1, "a", 0.5), (2, None, 1.5), (2, None, 1.5)]
+    mark = content_mark(spark.createDataFrame(rows, "x int, y string, z double"))
+    assert content_mark(spark.createDataFrame(rows[::-1], "x int, y string, z double").repartition(3)) == mark
+    for other in (rows[:2], [(1, "a", 0.5), (2, None, 1.5), (2, "", 1.5)]):
+        assert content_mark(spark.createDataFrame(other, "x int, y string, z double")) != mark
+
+
+def test_a_named_table_keeps_two_folders_at_most(spark, tmp_path):
+    for n in range(4):
+        assert Stages(spark, str(tmp_path))("t", spark.range(n), {"n": n}).count() == n
+        assert Stages(spark, str(tmp_path)).read("t").count() == n
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["data-0", "data-1", "last"]
+
+
+def test_catalogue_join_deals_out_popular_keys(spark, monkeypatch):
+    rows = spark.range(500).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 7 + 2).alias("article_id"), F.col("id").alias("customer_id"))
+    catalogue = spark.range(1, 6).select(F.col("id").cast("int").alias("article_id"), (F.col("id") * 10).alias("x"))
+    small = join_catalogue(rows, catalogue, "article_id", "customer_id")
+    monkeypatch.setattr(storage, "fits_broadcast", lambda df: False)
+    spread = join_catalogue(rows, catalogue, "article_id", "customer_id")
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, spread.collect()), key=str)
+    assert spread.columns == small.columns and small.where("x is null").count() > 0
+
+
+def test_broadcasts_are_measured(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert storage.fits_broadcast(wide) and not storage.fits_broadcast(wide, max_rows=9) and not storage.fits_broadcast(wide, max_bytes=9000)
+
+
 def test_submission_round_trip(spark, tmp_path):
     path = str(tmp_path / "submission")
     write_csv(spark.createDataFrame([("00a", "0108775015 0108775044")], "customer_id string, prediction string"), path)
