@@ -63,12 +63,5 @@ def unit(vector: Column | str) -> Column:
     return F.when(length > 0, F.transform(vector, lambda x: x.cast("double") / length))
 
 
-def cosine(left: Column | str, right: Column | str) -> Column:
-    """Cosine of two equally long arrays; null when either has no length."""
-    left, right = _col(left), _col(right)
-    length = F.sqrt(dot(left, left) * dot(right, right))
-    return F.when(length > 0, dot(left, right) / length)
-
-
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column

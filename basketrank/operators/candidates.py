@@ -88,20 +88,21 @@ def best_articles(counts: DataFrame, top: int) -> DataFrame:
 
 
 def merge_candidates(
-    sources: Iterable[DataFrame], customers: DataFrame, known: Iterable[DataFrame] = ()
+    sources: Iterable[DataFrame], customers: DataFrame, known: Iterable[DataFrame] = (), distinct: bool = True
 ) -> DataFrame:
     """Union of the sources for known customers, each (customer, article, source) once.
 
     Sources in ``known`` were made from the customers table and skip the check.
     One shuffle by pair serves both the de-duplication here and a following
-    ``source_pivot``; pairs spread a heavy customer over all partitions.
+    ``source_pivot``, which needs none (``distinct=False``); pairs spread a heavy
+    customer over all partitions.
     """
     cols = [*PAIR, "source"]
     parts = [
         source.select(*cols).join(customers.select("customer_id"), "customer_id", "left_semi") for source in sources
     ] + [source.select(*cols) for source in known]
     merged = reduce(DataFrame.unionByName, parts)
-    return merged.repartition(*PAIR).dropDuplicates(cols)
+    return merged.repartition(*PAIR).dropDuplicates(cols) if distinct else merged
 
 
 def source_pivot(candidates: DataFrame) -> DataFrame:
@@ -114,8 +115,9 @@ def source_pivot(candidates: DataFrame) -> DataFrame:
 
 
 def generate_candidates(
-    recent: DataFrame, customers: DataFrame, als: DataFrame | None = None, extra: Iterable[DataFrame] = ()
+    recent: DataFrame, customers: DataFrame, als: DataFrame | None = None, extra: Iterable[DataFrame] = (),
+    distinct: bool = True,
 ) -> DataFrame:
     """All sources merged; ``als`` and ``extra`` are candidates made beforehand."""
     made = [repurchase(recent), *([als] if als is not None else []), *extra]
-    return merge_candidates(made, customers, known=[age_popular(recent, customers)])
+    return merge_candidates(made, customers, known=[age_popular(recent, customers)], distinct=distinct)

@@ -71,13 +71,6 @@ def customer_activity(pairs: DataFrame, calendar: Calendar, as_of: date) -> Data
     )
 
 
-def customer_window_stats(pairs: DataFrame, calendar: Calendar, as_of: date, suffix: str) -> DataFrame:
-    """The statistics of one window, for the customers who bought in it."""
-    cols = [f"n_purchases_{suffix}", f"n_unique_articles_{suffix}", f"avg_price_{suffix}"]
-    stats = customer_activity(pairs, calendar, as_of)
-    return stats.where(F.col(cols[0]).isNotNull()).select("customer_id", *cols)
-
-
 def age_median(customers: DataFrame) -> DataFrame:
     """Exact median of the known ages, as one row.
 

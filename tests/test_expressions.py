@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from basketrank.functions import after, age_group, cosine, image_path, pad_id
+from basketrank.functions import after, age_group, image_path, pad_id
 
 
 def test_age_groups_have_open_upper_ends_and_take_null_as_oldest(spark):
@@ -22,9 +22,3 @@ def test_window_excludes_its_first_day(spark):
 def test_padding_never_cuts(spark, raw, padded):
     row = spark.createDataFrame([(raw,)], "a string").select(pad_id("a"), image_path("a")).first()
     assert row[0] == padded and row[1] == f"images/{padded}.jpg"
-
-
-def test_cosine_of_zero_vector_is_null(spark):
-    df = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<double>, b array<double>")
-    values = [r[0] for r in df.select(cosine("a", "b")).collect()]
-    assert values[0] == pytest.approx(2 ** -0.5) and values[1] is None

@@ -26,12 +26,6 @@ def test_mean_of_unknown_prices_stays_null(transactions, calendar):
     assert rows["b"]["avg_price_14d"] == 3.0
 
 
-def test_window_stats_list_only_buyers_of_the_window(transactions, calendar):
-    pairs = stats.pair_activity(transactions([("2020-09-05", "a", "1", 1.0), ("2020-06-05", "b", "1", 3.0)]), calendar, calendar.last_train)
-    rows = stats.customer_window_stats(pairs, calendar, calendar.last_train, "30d").collect()
-    assert [tuple(r) for r in rows] == [("a", 1, 1, 1.0)]
-
-
 def test_profile_fills_age_with_the_median_before_grouping(customers):
     profile = by_key(stats.customer_profile(customers([
         ("a", 28.0, "ACTIVE", "Regularly"), ("b", 32.0, "LEFT CLUB", "Monthly"), ("c", None, None, None), ("d", None, None, "NONE"),
