@@ -31,6 +31,7 @@ _TAG = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_UNSEEN = re.compile(r"(?<![\w-])hidden(?![\w-])|display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Pages to learn from, written for this purpose: an article in different wrappers, and the parts that stand around one.
@@ -161,7 +162,8 @@ def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], lis
             continue
         closed = close(ENDS.get(name, ("p",)), SCOPES) if name in ENDS or name in BLOCKS else 0.0
         keys = signatures(name, match["more"])
-        other = name not in VOID and weights.is_other(keys, articles > 0)
+        unseen = bool(match["more"]) and _UNSEEN.search(match["more"]) is not None
+        other = name not in VOID and (unseen or weights.is_other(keys, articles > 0))
         article = not other and weights.is_article(keys)
         enters = not articles and (article or (other and not others))
         add(piece, closed + (weights.wall if enters else weights.tag))

@@ -134,6 +134,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><b
     ("<article><h1>Ti tle</h1><p>one &amp; two<p>three\n four<br>five<script>x<y</script></article>", "Ti tle\none & two\nthree four five"),
     ("<article><header><h1>Head</h1></header><p>a b</p><aside>no no</aside><div class=ad>buy</div><p>c</p><footer>by me</footer></article>", "Head\na b\nc"),
     ("<div id=content><p>alpha beta gamma</p><form><input><label>mail</label></form><p>delta</p></div><div class='comments'><p>first comment, a long one with many words</p></div>", "alpha beta gamma\ndelta"),
+    ("<article><p hidden>no</p><p aria-hidden=x>yes</p><p style='display: none'>no</p><section id=comments>me too</section></article>", "yes"),
     ("<article></article>", ""), ("<article><p>a < b &lt; c &#233;&amp", "a < b < c é&"),
     ("<main><table><tr><td>x</td><td>y</td></tr></table><!-- no --><p>z</p></main>", "x\ny\nz"),
 ])
