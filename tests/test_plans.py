@@ -12,7 +12,7 @@ def plan(df):
 
 
 def test_no_query_plans_a_cartesian_product(spark):
-    for name in ("q_cand_merged", "q_submission", "q_map12", "q_embedding_similarity", "q_ndcg12", "q_bm25"):
+    for name in ("q_cand_merged", "q_submission", "q_map12", "q_embedding_similarity", "q_ndcg12", "q_bm25", "q_cand_als"):
         text = plan(queries.QUERIES[name](spark, SF))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
 
