@@ -211,12 +211,13 @@ def confirmed_links(rows: DataFrame, groups: DataFrame, size: int, percent: int,
                 )
 
     own_block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
+    sets = staged(texts.mapInArrow(shingled, "node long, root long, blocks int, shingles binary, signature binary"), "sets")
+    # By range, as ranges are even: by hash, several units of a large group would meet in one task.
     dealt = (
-        texts.mapInArrow(shingled, "node long, root long, blocks int, shingles binary, signature binary")
-        .withColumn("block", own_block)
+        sets.withColumn("block", own_block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "shingles", "signature")
-        .repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "node")
+        .repartitionByRange("root", "low", "high").sortWithinPartitions("root", "low", "high", "node")
     )
 
     def compare(batches):
