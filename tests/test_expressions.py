@@ -1,7 +1,6 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from basketrank.functions import after, age_group, image_path, pad_id
 
