@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import string
 from collections import Counter
 from dataclasses import dataclass, field
