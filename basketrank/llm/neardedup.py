@@ -17,7 +17,7 @@ from .components import components
 #: Coordinates of a signature, and the chance that a link at the threshold has too few of them in common.
 COORDINATES, MISS = 64, 1e-6
 #: Groups of candidates are compared in blocks of at most so many documents and bytes of shingles.
-BLOCK_ROWS, BLOCK_BYTES = 512, 16 << 20
+BLOCK_ROWS, BLOCK_BYTES = 256, 16 << 20
 MEMO_WORDS = 300_000
 
 # Odd multipliers: coordinate c of a set is the smallest upper half of (multiplier c * shingle).
