@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -195,3 +196,39 @@ def test_language_model_learns_from_both_sides(documents, empty, odd):
     assert found[3].n_words == 0 and found[3].log_likelihood == 0 and found[3].per_word is None
     assert found[1].log_likelihood == pytest.approx(found[1].per_word * found[1].n_words)
     assert pseudolm.lm_scores(empty).collect() == [] and pseudolm.lm_scores(odd).count() == odd.count()
+
+
+def test_every_word_has_a_probability_of_its_own(spark, documents):
+    frequent = [f"f{i}" for i in range(pseudolm.FREQUENT)]
+    same = [w for w in (f"rare{i}" for i in range(1000)) if zlib.crc32(w.encode()) % pseudolm.BUCKETS == 5]
+    common, seldom, unseen = same[:3]
+    corpus = documents([(1, " ".join(frequent * 50)), (2, " ".join([common] * 8 + [seldom] * 2)), (3, "others entirely")])
+    model = pseudolm.fit(corpus)
+    texts = {1: common, 2: seldom, 3: unseen, 4: f"f1 {common} {seldom.upper()} {common}", 5: "f1 f2", 6: ""}
+    found = {r.doc_id: r.log_likelihood for r in pseudolm.score(documents([*texts.items()]), model).collect()}
+    total = model.rest[5]
+    assert total >= 10 and sum(model.rest) == 12
+    assert found[1] - found[2] == pytest.approx(np.log(8 / 2)) and found[2] - found[3] == pytest.approx(np.log(2 / total * (total + 1)))
+    share = {common: np.log(8 / total), seldom: np.log(2 / total), unseen: -np.log(total + 1)}
+    for doc, text in texts.items():
+        context, word, _ = pseudolm.Vocabulary(model.frequent).windows([text])
+        expected = model.network.log_probability(context, word).sum() + sum(share.get(w, 0) for w in text.lower().split()) if text else 0
+        assert found[doc] == pytest.approx(expected, abs=1e-5)
+
+
+def test_lists_of_words_may_end_anywhere(documents, monkeypatch):
+    rng = random.Random(2)
+    docs = documents([(i, " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(60)))) for i in range(80)])
+    model = pseudolm.fit(docs)
+    whole = {r.doc_id: r.log_likelihood for r in pseudolm.score(docs, model).collect()}
+    monkeypatch.setattr(pseudolm, "LISTED", 7)
+    listing, rows = pseudolm.Listing(), [r.text for r in docs.collect()]
+    for text in rows:
+        if listing.full():
+            listing = pseudolm.Listing()
+        _, number, _ = pseudolm.Vocabulary(model.frequent).windows([text])
+        places, first, new = listing.add(text, number)
+        names = list(listing.places)
+        assert names[first:] == new
+        assert [names[i] for i in np.frombuffer(places, "<i4")] == [w.encode() for w, n in zip(text.split(), number, strict=True) if n >= pseudolm.FREQUENT]
+    assert len(whole) == 80
