@@ -63,6 +63,17 @@ def test_verdicts(documents):
     assert [r.doc_id for r in repetition.clean_rows(documents(rows)).collect()] == [1]
 
 
+def test_covered_share_rejects_what_no_other_limit_does(documents):
+    fresh = " ".join(f"w{i}" for i in range(170))
+    passage = " ".join(f"p{i}" for i in range(15))
+    rows = [(1, f"{fresh} {passage} between {passage}"), (2, f"{fresh} {fresh[::-1]} {passage} between {passage}")]
+    found = {r.doc_id: r for r in repetition.repetition(documents(rows)).collect()}
+    # 30 of 201 words in repeats of 15: within the base rule's share and the longest repeat; then 30 of 371.
+    assert [(r.n_words, r.n_repeat_words, r.covered_words, r.longest_repeat) for r in (found[1], found[2])] == [(201, 30, 30, 15), (371, 30, 30, 15)]
+    assert not found[1].base_failed and not found[1].kept and found[2].kept
+    assert [r.doc_id for r in repetition.clean_rows(documents(rows)).collect()] == [2]
+
+
 def test_quality_query_over_the_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in queries.op10_quality_rules(spark, SF).collect():
