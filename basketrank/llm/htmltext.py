@@ -108,39 +108,30 @@ def labelled_pages() -> list[tuple[str, str]]:
 WEIGHTS = Weights(labelled_pages())
 
 
-def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], list[float]]:
-    """The page as a sequence of pieces and their scores: text (empty for a tag), and None where a block ends.
+def events(page: str) -> list[tuple]:
+    """The page in order: ``(text, None, 0, None)``, or ``(None, piece, elements it closes, what it opens)`` for a tag.
 
-    Text scores by its words, tags take something off. Comments, scripts and the text of other parts are left out.
+    ``piece`` stands for the tag in the text: None where a block ends. What opens is
+    ``(name, keys, whether unseen, whether it stays open)``. Comments and scripts are left out.
     """
-    pieces: list[str | None] = []
-    scores: list[float] = []
-    # Open elements: (name, whether another part, whether an article, bonus of its words).
-    stack: list[tuple[str, bool, bool, float]] = []
-    others = articles = at = 0
-
-    def add(piece: str | None, score: float) -> None:
-        pieces.append(piece)
-        scores.append(score)
+    out: list[tuple] = []
+    names: list[str] = []
+    at = 0
+
+    def close(wanted: tuple[str, ...], scopes: tuple[str, ...] = ()) -> int:
+        """End the innermost open element of these names, within the scopes, and all in it; returns how many."""
+        for i in range(len(names) - 1, -1, -1):
+            if names[i] in wanted:
+                ended = len(names) - i
+                del names[i:]
+                return ended
+            if names[i] in scopes:
+                return 0
+        return 0
 
     def add_text(raw: str) -> None:
-        if raw and not others:
-            text = html.unescape(raw)
-            add(text, len(text.split()) * (weights.word + max((own for *_, own in stack), default=0.0)))
-
-    def close(names: tuple[str, ...], scopes: tuple[str, ...] = ()) -> float:
-        """End the innermost open element of these names, within the scopes, and return what that takes."""
-        nonlocal others, articles
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                before = articles
-                others -= sum(other for _, other, _, _ in stack[i:])
-                articles -= sum(article for _, _, article, _ in stack[i:])
-                del stack[i:]
-                return weights.wall if before and not articles else 0.0
-            if stack[i][0] in scopes:
-                return 0.0
-        return 0.0
+        if raw:
+            out.append((raw, None, 0, None))
 
     while match := _TAG.search(page, at):
         add_text(page[at : match.start()])
@@ -152,26 +143,119 @@ def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], lis
         name = match["name"].lower()
         piece = None if name in BLOCKS else " " if name == "br" else ""
         if match["end"]:
-            add(piece, close((name,)))
+            out.append((None, piece, close((name,)), ("", (), False, False)))
             continue
         if name in HIDDEN:
             if not match[0].endswith("/>"):
                 end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
                 at = end.start() if end else len(page)
-            add(piece, 0.0)
+            out.append((None, piece, 0, ("", (), False, False)))
             continue
-        closed = close(ENDS.get(name, ("p",)), SCOPES) if name in ENDS or name in BLOCKS else 0.0
-        keys = signatures(name, match["more"])
+        ended = close(ENDS.get(name, ("p",)), SCOPES) if name in ENDS or name in BLOCKS else 0
         unseen = bool(match["more"]) and _UNSEEN.search(match["more"]) is not None
-        other = name not in VOID and (unseen or weights.is_other(keys, articles > 0))
+        stays = name not in VOID and not match[0].endswith("/>")
+        out.append((None, piece, ended, (name, signatures(name, match["more"]), unseen, stays)))
+        if stays:
+            names.append(name)
+    add_text(page[at:])
+    return out
+
+
+def wrappers(found: list[tuple], weights: Weights = WEIGHTS) -> set[int]:
+    """Numbers of the elements (in the order they open) that stand around the page's article, whatever they are called.
+
+    The article is the ``article`` or ``main`` with the most words, halved for every element around it that is named
+    like another part, and the one of them within it that has most of its words; failing both names, an element with
+    a word that articles have. On a page without any, an element with more than half of the page's words is a wrapper.
+    """
+    # (words before it, other parts around it, kind: 2 by its name, 1 by its words, 0 none); bounds are set at its end.
+    elements: list[tuple[int, int, int]] = []
+    ends: list[tuple[int, int]] = []
+    stack: list[tuple[int, bool, bool]] = []
+    named: list[int] = []
+    words = others = hidden = 0
+
+    def close(ended: int) -> None:
+        nonlocal others, hidden
+        for number, other, unseen in stack[len(stack) - ended :]:
+            ends[number] = (words, len(elements))
+            others -= other
+            hidden -= unseen
+        del stack[len(stack) - ended :]
+
+    for text, _, ended, opens in found:
+        if text is not None:
+            words += 0 if hidden else len(text.split())
+            continue
+        close(ended)
+        name, keys, unseen, stays = opens
+        if stays:
+            other = weights.is_other(keys, False)
+            kind = 2 if name in ("article", "main") else 1 if not other and weights.is_article(keys) else 0
+            if other:
+                named.append(len(elements))
+            stack.append((len(elements), other, unseen))
+            elements.append((words, others, kind))
+            ends.append((0, 0))
+            others += other
+            hidden += unseen
+    close(len(stack))
+
+    def size(i: int) -> int:
+        return ends[i][0] - elements[i][0]
+
+    kind = max((kind for *_, kind in elements), default=0)
+    if not kind:
+        return {i for i in named if 2 * size(i) > words}
+    marks = [i for i, (*_, own) in enumerate(elements) if own == kind]
+    article = max(marks, key=lambda i: size(i) / 2 ** elements[i][1])
+    for i in marks:
+        if article < i < ends[article][1] and 2 * size(i) > size(article):
+            article = i
+    return {i for i in named if i <= article < ends[i][1]}
+
+
+def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], list[float]]:
+    """The page as a sequence of pieces and their scores: text (empty for a tag), and None where a block ends.
+
+    Text scores by its words, tags take something off. Comments, scripts and the text of other parts are left out;
+    an element around the article is no other part.
+    """
+    pieces: list[str | None] = []
+    scores: list[float] = []
+    found = events(page)
+    around = wrappers(found, weights)
+    # Open elements: (whether another part, whether an article, bonus of its words).
+    stack: list[tuple[bool, bool, float]] = []
+    others = articles = number = 0
+    for text, piece, ended, opens in found:
+        if text is not None:
+            if not others:
+                text = html.unescape(text)
+                pieces.append(text)
+                scores.append(len(text.split()) * (weights.word + max((own for *_, own in stack), default=0.0)))
+            continue
+        closed = 0.0
+        if ended:
+            before = articles
+            others -= sum(other for other, _, _ in stack[-ended:])
+            articles -= sum(article for _, article, _ in stack[-ended:])
+            del stack[-ended:]
+            closed = weights.wall if before and not articles else 0.0
+        name, keys, unseen, stays = opens
+        pieces.append(piece)
+        if not name:
+            scores.append(closed)
+            continue
+        other = name not in VOID and (unseen or (not (stays and number in around) and weights.is_other(keys, articles > 0)))
         article = not other and weights.is_article(keys)
         enters = not articles and (article or (other and not others))
-        add(piece, closed + (weights.wall if enters else weights.tag))
-        if name not in VOID and not match[0].endswith("/>"):
-            stack.append((name, other, article, weights.bonus(keys)))
+        scores.append(closed + (weights.wall if enters else weights.tag))
+        if stays:
+            stack.append((other, article, weights.bonus(keys)))
             others += other
             articles += article
-    add_text(page[at:])
+            number += 1
     return pieces, scores
 
 
@@ -207,7 +291,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     The page becomes a sequence of words and tags. Words score more the likelier their surrounding elements belong to
     an article, tags take something off, and the boundary of an article or of another part (menu, header, footer,
     sidebar, notice, advert, form, reader comments) takes much; the run with the largest sum is the article. Other
-    parts within it are left out. Character references are decoded, white space in a block becomes one space, blocks
+    parts within it are left out; an element that stands around the article is none, whatever its name. Character references are decoded, white space in a block becomes one space, blocks
     are joined by one line end. Null and empty pages, and those without words, give an empty text; null ids and urls
     stay null; repeated pages are extracted each. Pages are read whole, one after the other.
     """

@@ -154,6 +154,24 @@ def test_page_text(article, text):
     assert htmltext.main_text(PAGE % article) == text
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<form id=form1>%s</form>", "<div class='page has-sidebar'>%s</div>", "<div class='layout no-menu'>%s</div>", "<div class='search-page'>%s</div>",
+    "<form id=form1><div class='layout no-menu'><main>%s</main></div></form>", "<main><div class='with-sidebar'>%s</div></main>",
+])
+def test_elements_around_the_article_may_have_any_name(wrapper):
+    article = "<article><h1>Ti tle</h1><p>one two three four</p><div class=ad>buy now</div><p>five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen</p><p>seventeen eighteen nineteen twenty</p></article>"
+    more = "<div class=related><article>a teaser</article></div><section id=comments><article>comment of mine</article></section>"
+    for page in (PAGE % (wrapper % article), wrapper % (PAGE % article), PAGE % (wrapper % article + more)):
+        assert htmltext.main_text(page) == "Ti tle\none two three four\nfive six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen\nseventeen eighteen nineteen twenty"
+
+
+def test_most_of_the_words_make_a_wrapper_where_no_article_is_marked():
+    text = "<p>one two three four five six seven eight nine ten</p><p>eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen</p>"
+    expected = "\n".join(re.findall("<p>(.*?)</p>", text))
+    assert htmltext.main_text(f"<form id=form1><nav>Home</nav><div>{text}</div><div class=footer>all of it</div></form>") == expected
+    assert htmltext.main_text(f"<div class='page no-sidebar'>{text}</div><aside>else where</aside>") == expected
+
+
 def test_pages_of_the_table(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
         inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
