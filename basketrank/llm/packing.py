@@ -29,13 +29,14 @@ class WordTokenizer:
 
     That holds where the tokenizer first cuts by a pattern that leaves white space out. Words are remembered, and so
     are the pattern's pieces of words in the Latin blocks, for which normalising means lower case only; other words
-    go through the tokenizer as they are.
+    go through the tokenizer as they are. So do words that hold the string of an added token, which the library maps to
+    the token's id wherever it stands.
     """
 
     def __init__(self, content: bytes):
         self.whole = Tokenizer.from_str(content.decode())
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         settings = json.loads(content)
+        self.added = [token["content"] for token in settings["added_tokens"]]
         self.pieces_of = regex.compile(settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         # Byte-level alphabet: printable Latin-1 characters stand for themselves, the others follow from U+0100 on.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -47,6 +48,8 @@ class WordTokenizer:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
+        if any(own in text for own in self.added):
+            return _bytes(self.whole.encode(text, add_special_tokens=False).ids)
         if self.latin.fullmatch(text):
             text = text.lower()
             if text.isalpha():
@@ -152,7 +155,8 @@ def pack(
 ) -> DataFrame:
     """``(<id_col>, start, length, ids, doc_tokens, sequence_id, offset)``: one row for each piece.
 
-    A document is the ids of its whole text by the tokenizer file, without special tokens, and ``end_id``. It fills
+    A document is the ids of its whole text by the tokenizer file, with no special tokens put around it (their strings
+    in the text get their ids, as by the library), and ``end_id``. It fills
     whole windows as long as it can; its rest is one piece and placed by the sum-of-squares rule among the open
     windows of its task. ``ids`` are little-endian unsigned 32-bit integers. ``sequence_id`` is unique over all tasks;
     pieces stand gapless from offset 0; every sequence is full or a power of two long. Null and empty texts are a

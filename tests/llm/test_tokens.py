@@ -151,6 +151,18 @@ def test_packing_of_odd_rows(spark, odd, empty, clashing):
     assert {r.doc_id for r in packing.pack(clashing, WORDS).collect()} == {1, 2}
 
 
+def test_strings_of_added_tokens_get_their_ids(documents):
+    tokenizer = Tokenizer.from_file(WORDS)
+    texts = [
+        "a <|endoftext|> b", "a<|endoftext|>b", "It's<|startoftext|><|endoftext|>,3", "<|ENDOFTEXT|> <|endoftext|", "x  <|endoftext|>\n É<|startoftext|>日本",
+        "<|endoftext|>" * 3, "e\u0301<|endoftext|>\u0301e", "ok <|start<|startoftext|>oftext|> Wörter",
+    ]
+    expected = {i: [tokenizer.encode(text, add_special_tokens=False).ids + [2]] for i, text in enumerate(texts)}
+    assert expected[0] == [[320, 49407, 321, 2]]
+    rows = packing.pack(documents([*enumerate(texts)]), WORDS).collect()
+    check_packing([(r.doc_id, r.start, np.frombuffer(r.ids, "<u4").tolist(), r.doc_tokens, r.sequence_id, r.offset) for r in rows], expected, 4096)
+
+
 def test_packing_query(spark):
     tokenizer = Tokenizer.from_file(WORDS)
     tokenizer.encode_special_tokens = True
