@@ -126,6 +126,17 @@ def test_license_phrases_and_notices(documents):
     assert found[7][1:] == (0, None, None, "", "") and found[8][1:4] == (2, 0, 2) and found[9][0] == 3
 
 
+def test_other_wordings_of_licenses(documents):
+    texts = {
+        "Licensed under the MIT License": "mit", "The MIT License (MIT)": "mit", "Mozilla Public License, v. 2.0": "mpl", "BSD 3-Clause License": "bsd",
+        "licensed under the BSD license": "bsd", "Apache License 2.0": "apache-2.0", "a license of the bsd kind": "", "under the terms of the license": "",
+        "The above copyright notice and this permission note shall be included in all copies or substantial portions of the Software.": "mit",
+        "Creative Commons Attribution-ShareAlike": "cc-by-sa", "released under the same license": "",
+    }
+    found = {r.doc_id: r.labels for r in licenses.license_scan(documents([*enumerate(texts)])).collect()}
+    assert [found[i] for i in range(len(texts))] == [*texts.values()]
+
+
 def test_license_scan_of_odd_rows(odd, empty, clashing):
     rows = licenses.license_scan(odd).collect()
     assert len(rows) == odd.count() and all(r.n_base == 0 and r.first_word is None and 0 <= r.score <= 1 for r in rows)
