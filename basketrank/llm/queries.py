@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exactdedup, htmltext, licenses, neardedup, packing, pseudolm, repetition, tokencount, toxicity
+from . import (
+    bpe, decontaminate, exactdedup, fim, htmltext, licenses, neardedup, packing, prefixtrie, pseudolm, repetition, tokencount, toxicity,
+)
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -56,11 +58,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_token_counts, op2_byte_bpe, op3_lm_score, op4_exact_dedup, op5_minhash_near_dedup, op6_license_scan,
-        op7_html_text, op8_packing, op9_toxicity, op10_quality_rules,
+        op7_html_text, op8_packing, op9_toxicity, op10_quality_rules, op11_prefix_trie, op12_decontamination,
+        op13_fill_in_middle,
     )
 }
 ORACLE: dict[str, str] = {
@@ -71,4 +86,7 @@ ORACLE: dict[str, str] = {
         FROM texts WINDOW same AS (PARTITION BY own)
     """,
     "op6_license_scan": licenses.oracle_sql(),
+    "op11_prefix_trie": prefixtrie.oracle_sql(),
+    "op12_decontamination": decontaminate.oracle_sql(),
+    "op13_fill_in_middle": fim.oracle_sql(),
 }
