@@ -47,7 +47,7 @@ def chunk_ends(data: bytes) -> tuple[list[int], list[int]]:
         while place - last > MOST:
             last += MOST
             ends.append(last)
-        if place - last >= LEAST or place == len(data):
+        if place - last >= LEAST or last < place == len(data):
             last = place
             ends.append(last)
     return ends, hashes[np.array(ends) - 1].tolist()

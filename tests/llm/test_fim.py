@@ -56,6 +56,16 @@ def test_a_hash_that_two_chunks_share_is_told_apart():
     assert cache.summary(7, b"1 2 3") is other
 
 
+def test_a_text_may_end_where_a_chunk_does():
+    data = "".join(long_texts()).encode()
+    ends, _ = fim.chunk_ends(data)
+    for end in ends[:40]:
+        again = fim.chunk_ends(data[:end])[0]
+        assert again == ends[: ends.index(end) + 1]
+        text = data[:end].decode(errors="ignore")
+        assert fim.transform(3, text, fim.ChunkCache(), 1, fim.Rates()) == brute(3, text)
+
+
 def test_every_cut_of_a_text():
     text = long_texts()[0][:3000]
     doc, units = fim.Document(text.encode(), fim.ChunkCache()), UNIT.findall(text)
