@@ -106,13 +106,13 @@ class Memo(dict):
         return key in self or key in self.old
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table into the folder all executors share and read it back: this cuts the lineage.
 
-    A lost executor costs at most a new read of the written files.
+    A lost executor costs at most a new read of the written files. ``options`` are those of the Parquet writer.
     """
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketrank.sources.storage import broadcast_if_small
+
 from .common import Memo, id_and_text, once, ship, slices, staged
 
 #: Words of a window; bytes of text in a block of the index (or one longer text).
@@ -58,7 +60,7 @@ def index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
             yield from _block_rows(block, batch.column("id"), own)
 
     # Written once: places are found by block and row afterwards, whatever number of tasks reads them.
-    return staged(rows.mapInArrow(run, _INDEX), "index")
+    return staged(rows.mapInArrow(run, _INDEX), "index", compression="zstd")
 
 
 def _block_rows(block: int, ids: pa.Array, own: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -119,8 +121,7 @@ def rarest_first(posts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     Phrases with a term that the index has nowhere are left out.
     """
-    vocabulary = wanted.select(F.explode(F.array_distinct("terms")).alias("term")).distinct()
-    counts = staged(posts.select("term", "n").join(vocabulary, "term").groupBy("term").agg(F.sum("n").alias("n")), "counts")
+    counts = staged(posts.groupBy("term").agg(F.sum("n").alias("n")), "counts")
     each = wanted.select("phrase", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term")).join(counts, "term")
     ordered = each.groupBy("phrase", "size").agg(F.sort_array(F.collect_list(F.struct("n", "offset", "term"))).alias("found"))
     ordered = ordered.where(F.size("found") == F.col("size"))
@@ -182,8 +183,11 @@ def cover(indexed: DataFrame, found_phrases: DataFrame) -> DataFrame:
 
 
 def _search(indexed: DataFrame, found_phrases: DataFrame, slop: int, covered: bool) -> DataFrame:
-    posts = indexed.where("term IS NOT NULL").select("block", "term", "n", "places")
-    wanted = staged(rarest_first(posts, found_phrases.select("phrase", "terms").dropDuplicates(["phrase"])), "wanted")
+    asked = found_phrases.select("phrase", "terms").dropDuplicates(["phrase"])
+    vocabulary = broadcast_if_small(staged(asked.select(F.explode("terms").alias("term")).distinct(), "vocabulary"))
+    # Postings of other terms never leave the task that reads them, if the vocabulary is small enough to be there.
+    posts = indexed.where("term IS NOT NULL").select("block", "term", "n", "places").join(vocabulary, "term", "left_semi")
+    wanted = staged(rarest_first(posts, asked), "wanted")
     # The rarest term alone says which phrases can be in which block.
     candidates = staged(
         posts.select("block", F.col("term").alias("rarest")).join(wanted, "rarest").select("block", "phrase", "terms", "order"), "candidates"
