@@ -48,7 +48,3 @@ def articles(spark):
         )
 
     return make
-
-
-def as_set(df, *cols):
-    return {tuple(row) for row in df.select(*cols).collect()}

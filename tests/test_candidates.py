@@ -1,4 +1,4 @@
-from conftest import as_set
+from helpers import as_set
 
 from basketrank.config import SOURCES
 from basketrank.operators import candidates as c
