@@ -418,6 +418,37 @@ add("q_embedding_similarity", f"""
 SELECT customer_id, article_id, {r('coalesce(similarity, 0)')} AS embedding_similarity
 FROM pairs LEFT JOIN similar_pairs USING (customer_id, article_id)""", CANDIDATES, SCORED)
 
+NEIGHBOURS = """, sizes AS (SELECT article_id, count(*) AS n FROM interactions GROUP BY ALL
+), common AS (
+  SELECT a.article_id, b.article_id AS neighbour_id, count(*) AS n
+  FROM interactions a JOIN interactions b ON a.customer_id = b.customer_id AND a.article_id <> b.article_id GROUP BY ALL
+), alike AS (
+  SELECT article_id, neighbour_id, c.n / sqrt(CAST(x.n * y.n AS DOUBLE)) AS similarity
+  FROM common c JOIN sizes x USING (article_id) JOIN sizes y ON y.article_id = c.neighbour_id
+), neighbours AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY article_id ORDER BY similarity DESC, neighbour_id) AS INT) AS rank
+  FROM alike WHERE similarity >= CAST(0.2 AS DOUBLE) QUALIFY rank <= 50
+)"""
+add("q_item_similarity", f"SELECT article_id, neighbour_id, {r('similarity')} AS similarity, rank FROM neighbours", CANDIDATES, NEIGHBOURS)
+add("q_cand_item_item", """
+SELECT customer_id, article_id, 'item_item' AS source FROM (
+  SELECT customer_id, neighbour_id AS article_id, round(sum(similarity), 9) AS score
+  FROM interactions JOIN neighbours USING (article_id) GROUP BY ALL
+) WHERE (customer_id, article_id) NOT IN (SELECT (customer_id, article_id) FROM interactions)
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) <= 100""", CANDIDATES, NEIGHBOURS)
+add("q_cand_embedding_sim", f"""
+, dims AS (
+  SELECT vec_id AS article_id, unnest(range(1, 65)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
+  FROM embeddings WHERE vec_id IN (SELECT article_id FROM articles)
+), units AS (SELECT article_id, i, x / sqrt(sum(x * x) OVER (PARTITION BY article_id)) AS x FROM dims
+), profile AS (SELECT customer_id, i, sum(w * x) / sum(w) AS x FROM decay JOIN dims USING (article_id) GROUP BY ALL
+), directions AS (SELECT customer_id, i, x / sqrt(sum(x * x) OVER (PARTITION BY customer_id)) AS x FROM profile
+), compared AS (
+  SELECT customer_id, article_id, round(sum(u.x * d.x), 9) AS score FROM units u JOIN directions d USING (i) GROUP BY ALL
+)
+SELECT customer_id, article_id, 'embedding_sim' AS source FROM compared
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) <= 100""", CANDIDATES, SCORED)
+
 # --- round trips and checks of fitted results ---------------------------------
 
 add("q_csv_round_trip", f"""

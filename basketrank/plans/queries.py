@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import age_group
 from ..operators import (
-    ablation, candidates, factorisation, features, lookup, metrics, predict, ranker, sampling, stats, vectors,
+    ablation, candidates, factorisation, features, lookup, metrics, nearest, neighbours, predict, ranker, sampling, stats, vectors,
 )
 from ..operators.candidates import PAIR
 from ..sources import Inputs, Stages, load_inputs, read_tables, shared_dir, table_sizes, write_csv, write_parquet
@@ -269,6 +269,33 @@ def q_cand_als(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factorisation.als_candidates(_staged_recent(inputs))
 
 
+def _item_similarity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    stages = Stages(spark)
+    pairs = stages("interactions", factorisation.interactions(_recent(bind(spark, sf_dir))).select(*PAIR))
+    return pairs, stages("neighbours", neighbours.item_similarity(pairs, stages=stages))
+
+
+@query
+def q_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(_item_similarity(spark, sf_dir)[1])
+
+
+@query
+def q_cand_item_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.item_item_candidates(*_item_similarity(spark, sf_dir))
+
+
+def _profiles(spark: SparkSession, inputs: Inputs, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers' vectors, and those of the articles on sale."""
+    known = article_vectors(spark, sf_dir).join(inputs.articles.select("article_id"), "article_id", "left_semi")
+    return vectors.customer_vectors(stats.pair_features(_pairs(inputs)), known), known
+
+
+@query
+def q_cand_embedding_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.embedding_candidates(*_profiles(spark, bind(spark, sf_dir), sf_dir))
+
+
 @query
 def q_cand_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(bind(spark, sf_dir))
