@@ -108,6 +108,9 @@ class RankerParams:
     min_rows_per_leaf: int = 30
     max_bins: int = 255
     ndcg_at: int = 12
+    #: Gradients scaled per customer, from pairs with a row among the first ``truncation``; else plain ones of NDCG's own cut.
+    normalise: bool = True
+    truncation: int = 30
     early_stopping: int = 50
     log_every: int = 50
     watch: str = "holdout"
