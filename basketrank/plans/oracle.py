@@ -336,6 +336,35 @@ add("q_lambdas", f"""
 SELECT customer_id, article_id, {r('sum(l)')} AS lambda, {r('sum(h)')} AS hessian FROM parts GROUP BY ALL""",
     CANDIDATES, SCORED, IDEAL)
 
+add("q_lambdas_normalised", f"""
+, ideal30 AS (
+  SELECT customer_id, sum(1 / log2(i + 1)) AS ideal
+  FROM sizes JOIN (SELECT unnest(range(1, 31)) AS i) ON i <= pos WHERE neg > 0 GROUP BY ALL
+), discounted AS (
+  SELECT *, 1 / log2(rank + 1) AS d, max(score) OVER (PARTITION BY customer_id) > min(score) OVER (PARTITION BY customer_id) AS spread
+  FROM ranked JOIN ideal30 USING (customer_id)
+), swaps AS (
+  SELECT p.customer_id, p.article_id AS better, n.article_id AS worse, 1 / (1 + exp(p.score - n.score)) AS rho,
+         abs(p.d - n.d) / p.ideal / CASE WHEN p.spread THEN CAST(0.01 AS DOUBLE) + abs(p.score - n.score) ELSE 1 END AS delta
+  FROM discounted p JOIN discounted n ON p.customer_id = n.customer_id AND p.label = 1 AND n.label = 0
+  WHERE least(p.rank, n.rank) <= 30
+), parts AS (
+  SELECT customer_id, better AS article_id, rho * delta AS l, rho * (1 - rho) * delta AS h FROM swaps
+  UNION ALL SELECT customer_id, worse, -rho * delta, rho * (1 - rho) * delta FROM swaps
+  UNION ALL SELECT customer_id, article_id, 0, 0 FROM discounted
+), summed AS (SELECT customer_id, article_id, sum(l) AS l, sum(h) AS h FROM parts GROUP BY ALL
+), scaled AS (
+  SELECT *, sum(abs(l)) OVER (PARTITION BY customer_id) AS total FROM summed
+)
+SELECT customer_id, article_id, {r('l * log2(1 + total) / total')} AS lambda, {r('h * log2(1 + total) / total')} AS hessian
+FROM scaled""", CANDIDATES, SCORED, IDEAL)
+# Candidates as training makes them: from what was bought before the label week.
+HONEST = CANDIDATES.replace("train_tx", "clean").replace(LAST, FIXED)
+add("q_ranker_checks", """
+SELECT count(*) AS n_scored, count(DISTINCT customer_id) AS n_customers, CAST(0 AS BIGINT) AS n_not_finite,
+       TRUE AS several_trees, TRUE AS better_than_a_source FROM pairs""", HONEST)
+add("q_model_round_trip", "SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_different FROM pairs", HONEST)
+
 # --- ranking, submission, evaluation ----------------------------------------
 
 add("q_top50", f"SELECT customer_id, article_id, {r('score')} AS score, rank FROM ranked WHERE rank <= 50", CANDIDATES, SCORED)
@@ -347,6 +376,17 @@ add("q_missing_customers", "SELECT customer_id FROM customers WHERE customer_id
 add("q_submission", """
 SELECT customer_id, string_agg(CAST(article_id AS VARCHAR), ' ' ORDER BY rank) AS prediction
 FROM predicted GROUP BY ALL""", CANDIDATES, SCORED)
+add("q_submission_round_trip", """
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, string_agg(CAST(article_id AS VARCHAR), ' ' ORDER BY rank) AS prediction
+FROM predicted GROUP BY ALL""", CANDIDATES, SCORED)
+add("q_pipeline_submission", """
+SELECT customer_id, CASE WHEN n IS NULL THEN (SELECT count(*) FROM global12) ELSE least(12, n) END AS n_listed,
+       least(12, coalesce(n, 0)) AS n_candidates
+FROM customers LEFT JOIN (SELECT customer_id, count(*) AS n FROM pairs GROUP BY ALL) USING (customer_id)""", CANDIDATES)
+add("q_resume", """
+SELECT run, count(*) AS n_pairs, count(DISTINCT customer_id) AS n_customers
+FROM repurchase CROSS JOIN (SELECT unnest(['first', 'resumed', 'fewer customers']) AS run) JOIN customers USING (customer_id)
+WHERE run <> 'fewer customers' OR club_member_status IS NOT NULL GROUP BY run""", CANDIDATES)
 add("q_ground_truth", "SELECT customer_id, article_id, n_actual AS n_bought FROM truth JOIN actual USING (customer_id)",
     CANDIDATES, SCORED)
 add("q_ap12", f"SELECT customer_id, {r('ap')} AS ap FROM ({ap('predicted')})", CANDIDATES, SCORED)
@@ -430,14 +470,14 @@ NEIGHBOURS = """, sizes AS (SELECT article_id, count(*) AS n FROM interactions G
   FROM alike WHERE similarity >= CAST(0.2 AS DOUBLE) QUALIFY rank <= 50
 )"""
 add("q_item_similarity", f"SELECT article_id, neighbour_id, {r('similarity')} AS similarity, rank FROM neighbours", CANDIDATES, NEIGHBOURS)
-add("q_cand_item_item", """
+ITEM_ITEM = """, item_item AS (
 SELECT customer_id, article_id, 'item_item' AS source FROM (
   SELECT customer_id, neighbour_id AS article_id, round(sum(similarity), 9) AS score
   FROM interactions JOIN neighbours USING (article_id) GROUP BY ALL
 ) WHERE (customer_id, article_id) NOT IN (SELECT (customer_id, article_id) FROM interactions)
-QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) <= 100""", CANDIDATES, NEIGHBOURS)
-add("q_cand_embedding_sim", f"""
-, dims AS (
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) <= 100)"""
+add("q_cand_item_item", "SELECT * FROM item_item", CANDIDATES, NEIGHBOURS, ITEM_ITEM)
+EMBEDDING = """, dims AS (
   SELECT vec_id AS article_id, unnest(range(1, 65)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
   FROM embeddings WHERE vec_id IN (SELECT article_id FROM articles)
 ), units AS (SELECT article_id, i, x / sqrt(sum(x * x) OVER (PARTITION BY article_id)) AS x FROM dims
@@ -445,9 +485,26 @@ add("q_cand_embedding_sim", f"""
 ), directions AS (SELECT customer_id, i, x / sqrt(sum(x * x) OVER (PARTITION BY customer_id)) AS x FROM profile
 ), compared AS (
   SELECT customer_id, article_id, round(sum(u.x * d.x), 9) AS score FROM units u JOIN directions d USING (i) GROUP BY ALL
+), embedding_sim AS (
+  SELECT customer_id, article_id, 'embedding_sim' AS source FROM compared
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) <= 100
+)"""
+add("q_cand_embedding_sim", "SELECT * FROM embedding_sim", CANDIDATES, SCORED, EMBEDDING)
+add("q_pipeline_candidates", """
+, sold AS (
+  SELECT article_id, row_number() OVER (ORDER BY count(*) DESC, article_id) AS place
+  FROM train_tx WHERE t_dat > """ + f"{LAST} - {WEEK}" + """ GROUP BY article_id QUALIFY place <= 100
+), global_popular AS (
+  SELECT customer_id, article_id, 'global_popular' AS source FROM customers CROSS JOIN sold
+  WHERE customer_id NOT IN (SELECT customer_id FROM interactions)
+), all_sources AS (
+  SELECT * FROM merged UNION SELECT * FROM global_popular
+  UNION SELECT i.* FROM item_item i JOIN customers USING (customer_id)
+  UNION SELECT e.* FROM embedding_sim e JOIN customers USING (customer_id)
 )
-SELECT customer_id, article_id, 'embedding_sim' AS source FROM compared
-QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) <= 100""", CANDIDATES, SCORED)
+SELECT customer_id, article_id, """ + ", ".join(
+    f"max(CAST(source = '{name}' AS INT)) AS candidate_source_{name}" for name in SOURCES
+) + " FROM all_sources GROUP BY ALL", CANDIDATES, NEIGHBOURS, ITEM_ITEM, SCORED, EMBEDDING)
 
 # --- round trips and checks of fitted results ---------------------------------
 

@@ -9,16 +9,22 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import RANKER, SOURCES, RankerParams
 from ..functions import age_group
 from ..operators import (
     ablation, candidates, factorisation, features, lookup, metrics, nearest, neighbours, predict, ranker, sampling, stats, vectors,
 )
 from ..operators.candidates import PAIR
-from ..sources import Inputs, Stages, load_inputs, read_tables, shared_dir, table_sizes, write_csv, write_parquet
+from ..sources import (
+    Inputs, Stages, load_inputs, read_submission, read_tables, shared_dir, table_sizes, write_csv, write_parquet,
+)
+from . import pipeline
 from .testdata import article_vectors, bind
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -508,25 +514,84 @@ def q_lambdas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(ranker.lambda_gradients(Stages(spark)("labelled", rows)).select(*PAIR, "lambda", "hessian"))
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[ranker.Ranker, DataFrame]:
+@query
+def q_lambdas_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gradients from pairs with a row among the first 30, scaled per customer."""
+    rows = ranker.with_ideal(_labelled(bind(spark, sf_dir)), 30)
+    return tidy(ranker.normalised_gradients(Stages(spark)("labelled", rows), 30).select(*PAIR, "lambda", "hessian"))
+
+
+def _training_table(spark: SparkSession, sf_dir: str, stages: Stages) -> DataFrame:
+    """Labelled feature rows made as training makes them: candidates and features know nothing of the label week."""
+    inputs = bind(spark, sf_dir)
+    as_of = inputs.calendar.feature_as_of("fixed")
+    recent = stages("training_activity", candidates.recent_activity(inputs.train_tx_clean, inputs.calendar, as_of))
+    pivot = stages("training_pivot", candidates.source_pivot(candidates.generate_candidates(recent, inputs.customers, distinct=False)))
+    statistics = features.build_statistics(
+        inputs.train_tx_clean, inputs.articles, inputs.customers, inputs.calendar, as_of, stages
+    )
+    return stages("training_features", features.build_features(pivot, statistics, inputs.label_tx))
+
+
+def _fitted(
+    spark: SparkSession, sf_dir: str, params: RankerParams = RANKER, ratio: int = 10
+) -> tuple[ranker.Ranker, DataFrame, DataFrame]:
     stages = Stages(spark)
-    table = stages("features", _feature_table(spark, bind(spark, sf_dir), labels=True, mode="fixed"))
-    sampled = stages("sampled", sampling.sample_negatives(table, ratio=10))
-    return ranker.fit_ranker(sampled, stages=stages), table
+    table = _training_table(spark, sf_dir, stages)
+    sampled = stages("sampled", sampling.sample_negatives(table, ratio=ratio))
+    return ranker.fit_ranker(sampled, params, stages=stages), table, sampled
+
+
+#: For queries that check the trainer: few rounds of small trees, watched on the training rows.
+CHECKED = replace(RANKER, rounds=12, learning_rate=0.3, max_depth=4, min_rows_per_leaf=5, watch="train")
 
 
 @query
 def q_ranker_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, table = _fitted(spark, sf_dir)
+    model, table, _ = _fitted(spark, sf_dir)
     return tidy(model.score(table))
 
 
 @query
 def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _ = _fitted(spark, sf_dir)
+    model, _, _ = _fitted(spark, sf_dir)
     return tidy(model.importances(spark))
 
 
+@query
+def q_ranker_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates and customers scored, scores that are no number, whether several trees were kept, and whether the
+    rows trained on are ranked better than by any single source."""
+    model, table, sampled = _fitted(spark, sf_dir, CHECKED, ratio=50)
+    known = model.score(table)
+    own = Stages(spark)("own_scores", model.score(sampled).join(sampled.drop("score"), PAIR))
+
+    def mean_ndcg(score: Column) -> DataFrame:
+        rows = own.select(*PAIR, "label", score.cast("double").alias("score"))
+        return metrics.ndcg(rows).agg(F.avg("ndcg").alias("ndcg"))
+
+    singles = [mean_ndcg(F.col(f"candidate_source_{name}")) for name in SOURCES]
+    best = reduce(DataFrame.unionByName, singles).agg(F.max("ndcg").alias("single"))
+    bad = F.col("score").isNull() | F.isnan("score") | (F.abs("score") == float("inf"))
+    return known.agg(
+        F.count(F.lit(1)).alias("n_scored"), F.countDistinct("customer_id").alias("n_customers"), F.count_if(bad).alias("n_not_finite"),
+    ).select(
+        "*", F.lit(model.ensemble.getNumTrees > 1).alias("several_trees"),
+        (mean_ndcg(F.col("score")).scalar() > best.scalar()).alias("better_than_a_source"),
+    )
+
+
+@query
+def q_model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates scored by a model and by the same one saved and loaded, and how many scores differ."""
+    model, table, _ = _fitted(spark, sf_dir, replace(CHECKED, rounds=3), ratio=50)
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    model.save(spark, path)
+    again = ranker.Ranker.load(spark, path).score(table).withColumnRenamed("score", "again")
+    both = model.score(table).join(again, PAIR)
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.col("score").eqNullSafe(F.col("again"))).alias("n_different"))
+
+
 # --- ranking, submission, evaluation ----------------------------------------
 
 
@@ -558,6 +623,52 @@ def q_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _submission(bind(spark, sf_dir))
 
 
+@query
+def q_submission_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The submission written as CSV and read back as the evaluation reads it."""
+    path = f"{shared_dir(spark)}/submission-{uuid.uuid4().hex}"
+    write_csv(_submission(bind(spark, sf_dir)), path)
+    return read_submission(spark, path)
+
+
+@query
+def q_pipeline_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidate part of the whole pipeline, with all sources that need no trained model."""
+    options = pipeline.Options(
+        als=None, training=False, prediction=False, evaluation=False, global_popular=True,
+        item_item=neighbours.ItemItemParams(), embedding=nearest.NearestParams(),
+    )
+    out = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    return tidy(pipeline.run(bind(spark, sf_dir), out, options, similarity_vectors=article_vectors(spark, sf_dir))["candidates"])
+
+
+@query
+def q_pipeline_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline from candidates to the written submission, without ALS: per customer the articles in its list, and
+    how many of them are among its candidates."""
+    options = pipeline.Options(als=None, evaluation=False, neg_ratio=50, ranker=CHECKED)
+    out = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    made = pipeline.run(bind(spark, sf_dir), out, options)
+    listed = metrics.predicted_rows(made["submission"]).select(*[F.col(c).cast("long").alias(c) for c in PAIR])
+    known = made["candidates"].select(*PAIR, F.lit(1).alias("known"))
+    return listed.join(known, PAIR, "left").groupBy("customer_id").agg(
+        F.countDistinct("article_id").alias("n_listed"), F.count("known").alias("n_candidates")
+    )
+
+
+@query
+def q_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repurchase candidates of a run, of one that resumes it, and of one that resumes it with fewer customers."""
+    inputs, out = bind(spark, sf_dir), f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    options = pipeline.Options(als=None, training=False, prediction=False, evaluation=False, resume=True)
+    fewer = replace(inputs, customers=inputs.customers.where(F.col("club_member_status").isNotNull()))
+    counts = []
+    for name, given in (("first", inputs), ("resumed", inputs), ("fewer customers", fewer)):
+        made = pipeline.run(given, out, options)["candidates"].where("candidate_source_repurchase = 1")
+        counts.append(made.agg(F.lit(name).alias("run"), F.count(F.lit(1)).alias("n_pairs"), F.countDistinct("customer_id").alias("n_customers")))
+    return reduce(DataFrame.unionByName, [Stages(spark)("counts", one) for one in counts])
+
+
 @query
 def q_ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.ground_truth(bind(spark, sf_dir).test_tx)
