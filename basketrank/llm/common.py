@@ -56,6 +56,11 @@ def pick(df: DataFrame, **columns: tuple[str, str]) -> DataFrame:
     )
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """The same columns, named by their places: names that differ in case only do no harm."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return pick(df, id=(id_col, "long"), text=(text_col, "string"))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import BLANKS, id_and_text, slices
+from .common import BLANKS, by_place, id_and_text, slices
 
 #: Base rules: fewer words than this fail; so does a text whose share of words in repeated windows is above the limit.
 MIN_WORDS = 10
@@ -180,11 +180,15 @@ def verdicts(found: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def clean_rows(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text is kept: no shuffle, no join by id."""
-    place = df.columns.index(text_col)
+    """The rows, with all their columns, whose text is kept: no shuffle, no join by id.
+
+    A null text has no words and goes; rows that share an id or a text are judged each; names of columns may differ in
+    case only; an empty table gives an empty one.
+    """
+    place, own = df.columns.index(text_col), by_place(df)
 
     def run(batches):
         for batch in slices(batches, place):
             yield batch.filter(pa.array(verdicts(measure(batch.column(place).to_pylist()))[1]))
 
-    return df.mapInArrow(run, df.schema)
+    return own.mapInArrow(run, own.schema).toDF(*df.columns)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, pick, slices, staged
+from .common import Memo, by_place, pick, slices, staged
 
 #: The model is fitted on at most this many labelled documents (the first in the order of a hash of their id).
 MAX_LABELLED = 12_000
@@ -240,8 +240,12 @@ def _above(model: Model, finder: Finder, langs: list[str | None], texts: list[st
 
 
 def clean_rows(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows, with all their columns, that are not toxic: no shuffle, no join by id."""
-    place = docs.columns.index(text_col)
+    """The rows, with all their columns, that are not toxic: no shuffle, no join by id.
+
+    A null text has nothing toxic and stays; rows that share an id or a text are judged each; names of columns may differ
+    in case only; an empty table gives an empty one.
+    """
+    place, own = docs.columns.index(text_col), by_place(docs)
     lang = docs.columns.index(lang_col) if lang_col in docs.columns else None
 
     def run(batches):
@@ -250,7 +254,7 @@ def clean_rows(docs: DataFrame, model: Model, text_col: str = "text", lang_col:
             langs = [None] * batch.num_rows if lang is None else batch.column(lang).to_pylist()
             yield batch.filter(pa.array(_above(model, finder, langs, batch.column(place).to_pylist())[:, 0] < LIMIT))
 
-    return docs.mapInArrow(run, docs.schema)
+    return own.mapInArrow(run, own.schema).toDF(*docs.columns)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:

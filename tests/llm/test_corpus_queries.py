@@ -61,3 +61,13 @@ def test_an_empty_table_goes_through_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.collect() == []
+
+
+def test_stages_take_names_that_differ_in_case_only(spark, clashing):
+    words = " ".join(f"word{i}" for i in range(30))
+    docs = clashing.unionByName(spark.createDataFrame([(9, "Wrong", words, "en", 1, 2, "i", "k", 3, 4, 5)], clashing.schema))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == clashing.columns
+        assert [tuple(r)[:3] for r in docs.collect()] == [(9, "Wrong", words)]
+    assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()} == {9}

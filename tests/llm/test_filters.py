@@ -1,6 +1,7 @@
 """Quality rules, toxicity, licenses, page text, language model."""
 
 import random
+from collections import Counter
 import re
 import zlib
 
@@ -256,19 +257,39 @@ def test_every_word_has_a_probability_of_its_own(spark, documents):
         assert found[doc] == pytest.approx(expected, abs=1e-5)
 
 
-def test_lists_of_words_may_end_anywhere(documents, monkeypatch):
+def test_lists_of_words_may_end_anywhere(documents):
     rng = random.Random(2)
-    docs = documents([(i, " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(60)))) for i in range(80)])
+    docs = documents([(i, " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(60)))) for i in range(80)]).coalesce(1)
     model = pseudolm.fit(docs)
     whole = {r.doc_id: r.log_likelihood for r in pseudolm.score(docs, model).collect()}
-    monkeypatch.setattr(pseudolm, "LISTED", 7)
-    listing, rows = pseudolm.Listing(), [r.text for r in docs.collect()]
-    for text in rows:
-        if listing.full():
-            listing = pseudolm.Listing()
-        _, number, _ = pseudolm.Vocabulary(model.frequent).windows([text])
-        places, first, new = listing.add(text, number)
-        names = list(listing.places)
-        assert names[first:] == new
-        assert [names[i] for i in np.frombuffer(places, "<i4")] == [w.encode() for w, n in zip(text.split(), number, strict=True) if n >= pseudolm.FREQUENT]
-    assert len(whole) == 80
+    for listed, together, piece in ((7, 10**6, 500), (10**6, 100, 1), (150, 10**6, 2000)):
+        cut = {r.doc_id: r.log_likelihood for r in pseudolm.score(docs, model, listed=listed, together=together, piece=piece).collect()}
+        assert cut == pytest.approx(whole, abs=1e-4) and len(cut) == 80
+
+
+def test_scores_equal_brute_force(documents):
+    """The probability of every word from its neighbours and the counts, one word at a time."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"W{int(rng.random() ** 3 * 500)}" for _ in range(rng.randrange(40)))) for i in range(60)]
+    docs = documents(rows)
+    model = pseudolm.fit(docs)
+    words = {i: text.lower().split() for i, text in rows}
+    counts = Counter(w for own in words.values() for w in own)
+    frequent = sorted(counts, key=lambda w: (-counts[w], pseudolm.word_hash(w.encode())))[: pseudolm.FREQUENT]
+    bucket = lambda w: zlib.crc32(w.encode()) % pseudolm.BUCKETS
+    rest = Counter()
+    for w, n in counts.items():
+        if w not in frequent:
+            rest[bucket(w)] += n
+    number = lambda w: frequent.index(w) if w in frequent else pseudolm.FREQUENT + bucket(w)
+    found = {r.doc_id: r.log_likelihood for r in pseudolm.score(docs, model).collect()}
+    net, reach = model.network, pseudolm.REACH
+    for doc, own in words.items():
+        padded, total = [pseudolm.EDGE] * reach + [number(w) for w in own] + [pseudolm.EDGE] * reach, 0.0
+        for i, w in enumerate(own):
+            sides = padded[i : i + reach] + padded[i + reach + 1 : i + 2 * reach + 1]
+            hidden = np.tanh(net.bias + sum(net.near[k][side] for k, side in enumerate(sides)))
+            scores = hidden @ net.out + net.prior
+            total += scores[number(w)] - np.log(np.exp(scores).sum())
+            total += 0 if w in frequent else np.log(counts[w] / rest[bucket(w)])
+        assert found[doc] == pytest.approx(total, abs=1e-3)
