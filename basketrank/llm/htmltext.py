@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from .common import pick, slices
 
 # The HTML elements whose content is no text, those without content, and those that separate blocks.
-HIDDEN = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "title", "select", "textarea")
+HIDDEN = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "title", "select", "textarea")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 BLOCKS = (
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt",
@@ -30,12 +30,14 @@ _TAG = re.compile(
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?:(?P<more>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|[^>]*(?:>|\Z))",
     re.S,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _UNSEEN = re.compile(r"(?<![\w-])hidden(?![\w-])|display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Pages to learn from, written for this purpose: an article in different wrappers, and the parts that stand around one.
 _BODY = "<h1>w w w</h1><p>w w w w w w w w <a href=/>w w</a> w w w w w</p><h2>w w</h2><p>w w <b>w</b> w w w w w w w</p><ul><li>w w w w</li><li>w w w w w</li></ul><blockquote><p>w w w w w w</p></blockquote><table><tr><td>w w</td><td>w</td></tr></table><figure><figcaption>w w w</figcaption></figure><p>w w w w w<br>w w w w w w w</p>"
+# Elements that hold text themselves.
+TEXTUAL = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "blockquote", "pre", "figcaption", "caption")
 # Elements that shape text and say nothing about where it stands.
 PLAIN = ("a", "b", "br", "div", "h1", "h2", "h3", "label", "li", "ol", "p", "section", "ul")
 _WRAPPERS = (
@@ -63,8 +65,29 @@ _OTHERS = (
 
 def signatures(name: str, attributes: str | None) -> list[str]:
     """What a start tag is known by: its name, and the words of its class, id and role."""
+    return [name, *("." + part for _, tokens in _tokens(attributes) for token in tokens for part in token)]
+
+
+def _tokens(attributes: str | None) -> list[tuple[str, list[list[str]]]]:
+    """The class, id and role of a start tag: names separated by white space, each as its words in lower case."""
     found = _NAMES.findall(attributes) if attributes else ()
-    return [name, *("." + part.lower() for groups in found for part in _PART.findall("".join(groups)))]
+    return [(which.lower(), [[part.lower() for part in _PART.findall(token)] for token in "".join(values).split()]) for which, *values in found]
+
+
+def inner_signatures(name: str, attributes: str | None) -> list[str]:
+    """What a start tag is known by inside an article, where headings are anchors and paragraphs have their own topics.
+
+    An id, and any name of an element that holds text itself, counts only as a whole.
+    """
+    whole = name in TEXTUAL
+    return [
+        name, *("." + part for which, tokens in _tokens(attributes) for token in tokens if len(token) == 1 or not (whole or which == "id") for part in token)
+    ]
+
+
+def last_words(attributes: str | None) -> list[str]:
+    """The last word of each class: what a name like ``social-science-body`` says that an element is."""
+    return ["." + token[-1] for which, tokens in _tokens(attributes) if which == "class" for token in tokens if token]
 
 
 class Weights:
@@ -112,17 +135,22 @@ def events(page: str) -> list[tuple]:
     """The page in order: ``(text, None, 0, None)``, or ``(None, piece, elements it closes, what it opens)`` for a tag.
 
     ``piece`` stands for the tag in the text: None where a block ends. What opens is
-    ``(name, keys, whether unseen, whether it stays open)``. Comments and scripts are left out.
+    ``(name, keys, whether unseen, whether it stays open, attributes)``. Comments and scripts are left out.
     """
     out: list[tuple] = []
     names: list[str] = []
+    # How many elements of a name are open, so that a stray end tag costs no search.
+    opened: Counter = Counter()
     at = 0
 
     def close(wanted: tuple[str, ...], scopes: tuple[str, ...] = ()) -> int:
         """End the innermost open element of these names, within the scopes, and all in it; returns how many."""
+        if not any(opened[name] for name in wanted):
+            return 0
         for i in range(len(names) - 1, -1, -1):
             if names[i] in wanted:
                 ended = len(names) - i
+                opened.subtract(names[i:])
                 del names[i:]
                 return ended
             if names[i] in scopes:
@@ -143,20 +171,21 @@ def events(page: str) -> list[tuple]:
         name = match["name"].lower()
         piece = None if name in BLOCKS else " " if name == "br" else ""
         if match["end"]:
-            out.append((None, piece, close((name,)), ("", (), False, False)))
+            out.append((None, piece, close((name,)), ("", (), False, False, None)))
             continue
         if name in HIDDEN:
             if not match[0].endswith("/>"):
                 end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
                 at = end.start() if end else len(page)
-            out.append((None, piece, 0, ("", (), False, False)))
+            out.append((None, piece, 0, ("", (), False, False, None)))
             continue
         ended = close(ENDS.get(name, ("p",)), SCOPES) if name in ENDS or name in BLOCKS else 0
         unseen = bool(match["more"]) and _UNSEEN.search(match["more"]) is not None
         stays = name not in VOID and not match[0].endswith("/>")
-        out.append((None, piece, ended, (name, signatures(name, match["more"]), unseen, stays)))
+        out.append((None, piece, ended, (name, signatures(name, match["more"]), unseen, stays, match["more"])))
         if stays:
             names.append(name)
+            opened[name] += 1
     add_text(page[at:])
     return out
 
@@ -167,12 +196,14 @@ def wrappers(found: list[tuple], weights: Weights = WEIGHTS) -> set[int]:
     The article is the ``article`` or ``main`` with the most words, halved for every element around it that is named
     like another part, and the one of them within it that has most of its words; failing both names, an element with
     a word that articles have. On a page without any, an element with more than half of the page's words is a wrapper.
+    So is one inside the article that holds most of its words, if a class of it ends in a word that articles have.
     """
     # (words before it, other parts around it, kind: 2 by its name, 1 by its words, 0 none); bounds are set at its end.
     elements: list[tuple[int, int, int]] = []
     ends: list[tuple[int, int]] = []
     stack: list[tuple[int, bool, bool]] = []
     named: list[int] = []
+    bodies: set[int] = set()
     words = others = hidden = 0
 
     def close(ended: int) -> None:
@@ -188,9 +219,11 @@ def wrappers(found: list[tuple], weights: Weights = WEIGHTS) -> set[int]:
             words += 0 if hidden else len(text.split())
             continue
         close(ended)
-        name, keys, unseen, stays = opens
+        name, keys, unseen, stays, attributes = opens
         if stays:
             other = weights.is_other(keys, False)
+            if other and any(weights.odds.get(key, 0.0) > 0 for key in last_words(attributes)):
+                bodies.add(len(elements))
             kind = 2 if name in ("article", "main") else 1 if not other and weights.is_article(keys) else 0
             if other:
                 named.append(len(elements))
@@ -212,7 +245,8 @@ def wrappers(found: list[tuple], weights: Weights = WEIGHTS) -> set[int]:
     for i in marks:
         if article < i < ends[article][1] and 2 * size(i) > size(article):
             article = i
-    return {i for i in named if i <= article < ends[i][1]}
+    within = {i for i in bodies if article < i < ends[article][1] and 2 * size(i) > size(article)}
+    return within | {i for i in named if i <= article < ends[i][1]}
 
 
 def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], list[float]]:
@@ -225,7 +259,7 @@ def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], lis
     scores: list[float] = []
     found = events(page)
     around = wrappers(found, weights)
-    # Open elements: (whether another part, whether an article, bonus of its words).
+    # Open elements: (whether another part, whether an article, the largest bonus so far of its words).
     stack: list[tuple[bool, bool, float]] = []
     others = articles = number = 0
     for text, piece, ended, opens in found:
@@ -233,7 +267,7 @@ def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], lis
             if not others:
                 text = html.unescape(text)
                 pieces.append(text)
-                scores.append(len(text.split()) * (weights.word + max((own for *_, own in stack), default=0.0)))
+                scores.append(len(text.split()) * (weights.word + (stack[-1][2] if stack else 0.0)))
             continue
         closed = 0.0
         if ended:
@@ -242,17 +276,18 @@ def scored(page: str, weights: Weights = WEIGHTS) -> tuple[list[str | None], lis
             articles -= sum(article for _, article, _ in stack[-ended:])
             del stack[-ended:]
             closed = weights.wall if before and not articles else 0.0
-        name, keys, unseen, stays = opens
+        name, keys, unseen, stays, attributes = opens
         pieces.append(piece)
         if not name:
             scores.append(closed)
             continue
-        other = name not in VOID and (unseen or (not (stays and number in around) and weights.is_other(keys, articles > 0)))
+        known = inner_signatures(name, attributes) if articles else keys
+        other = name not in VOID and (unseen or (not (stays and number in around) and weights.is_other(known, articles > 0)))
         article = not other and weights.is_article(keys)
         enters = not articles and (article or (other and not others))
         scores.append(closed + (weights.wall if enters else weights.tag))
         if stays:
-            stack.append((other, article, weights.bonus(keys)))
+            stack.append((other, article, max(weights.bonus(keys), stack[-1][2] if stack else 0.0)))
             others += other
             articles += article
             number += 1

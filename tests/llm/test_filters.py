@@ -293,3 +293,30 @@ def test_scores_equal_brute_force(documents):
             total += scores[number(w)] - np.log(np.exp(scores).sum())
             total += 0 if w in frequent else np.log(counts[w] / rest[bucket(w)])
         assert found[doc] == pytest.approx(total, abs=1e-3)
+
+
+@pytest.mark.parametrize("inside", [
+    "<div class='social-science-body'><p>{}</p></div>", "<section id='search-engines'><p>{}</p></section>", "<p class='notice-period'>{}</p>",
+    "<div data-id='menu'><p>{}</p></div>", "<h2 id='related-work'>Related work</h2><p>{}</p>", "<p>{} <math><mi>x</mi></math></p>",
+])
+def test_names_inside_an_article_do_not_cost_its_text(inside):
+    words = " ".join(f"word{i}" for i in range(80))
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>Title</h1>{inside.format(words)}</article><footer>foot</footer></body>"
+    text = htmltext.main_text(page)
+    assert words in text and text.startswith("Title") and "Home" not in text and "foot" not in text
+
+
+def test_other_parts_inside_an_article_still_go():
+    words, talk = " ".join(f"word{i}" for i in range(40)), " ".join(f"talk{i}" for i in range(300))
+    for part in ("<section class='post-comments'><p>{}</p></section>", "<div class='ad-slot'>{}</div>", "<div id='comments'>{}</div>", "<aside>{}</aside>", "<p class='advert'>{}</p>"):
+        text = htmltext.main_text(f"<article><h1>Title</h1><p>{words}</p>{part.format(talk)}<p>The end.</p></article>")
+        assert text == f"Title\n{words}\nThe end."
+
+
+def test_malformed_pages_take_time_in_proportion():
+    import time
+
+    for page in ("<b>x " * 200_000, "<p>" + "<b>x " * 100_000 + "</i>y " * 100_000, "<div>x " * 50_000 + "</p>" * 50_000):
+        start = time.process_time()
+        htmltext.main_text(page)
+        assert time.process_time() - start < 10
