@@ -16,7 +16,7 @@ from .components import components
 
 #: Coordinates of a signature, and the chance that a link at the threshold has too few of them in common.
 COORDINATES, MISS = 64, 1e-6
-#: Groups of candidates are compared in blocks of at most so many documents and bytes of shingles.
+#: Posting lists are compared in blocks of about so many documents and bytes of shingles.
 BLOCK_ROWS, BLOCK_BYTES = 256, 16 << 20
 MEMO_WORDS = 300_000
 
@@ -92,29 +92,36 @@ def sketches(rows: DataFrame, size: int) -> DataFrame:
 
 
 def postings(sets: DataFrame, matches: int) -> DataFrame:
-    """``(node, key)``: the keys under which each set of ``sets (node, keys)`` is posted.
+    """``(node, key, n_shingles, earlier)``: the keys under which each set of ``sets (node, keys, n_shingles)`` is posted.
 
     Sets that share ``matches`` coordinates share one among the rarest ``COORDINATES - matches + 1`` of either, in one
     order for all: by how many sets have the key. Keys that a single set has come first there and need no posting, so
     a set is posted under the rest of its prefix, and not at all (the merge skips it) if too few of its keys occur
-    elsewhere. Keys that very many sets have, as of a passage that many documents quote, come last.
+    elsewhere. Keys that very many sets have, as of a passage that many documents quote, come last. ``earlier`` has a
+    bit for the coordinate of each key before this one (none for an id that several sets have).
     """
-    keys = sets.select("node", F.explode("keys").alias("key"))
+    keys = sets.select("node", "n_shingles", F.explode("keys").alias("key"))
     shared = staged(keys.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "shared")
+    coordinates = F.transform("found", lambda post: F.shiftright(post["key"], 32).cast("int"))
+    before = F.expr("aggregate(slice(coordinates, 1, place), 0L, (bits, c) -> bits | shiftleft(1L, c))")
     return (
-        keys.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("found"))
-        .where(F.size("found") >= matches)
-        .select("node", F.explode(F.slice("found", F.lit(1), F.size("found") - (matches - 1))).alias("post"))
-        .select("node", F.col("post.key").alias("key"))
+        keys.join(shared, "key").groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("found"), F.max("n_shingles").alias("n_shingles"))
+        .where(F.size("found") >= matches).withColumn("coordinates", coordinates)
+        .withColumn("alone", F.size(F.array_distinct("coordinates")) == F.size("coordinates"))
+        .select("node", "n_shingles", "coordinates", "alone", F.posexplode(F.slice("found", F.lit(1), F.size("found") - (matches - 1))).alias("place", "post"))
+        .select("node", F.col("post.key").alias("key"), F.col("post.sets").alias("sets"), "n_shingles", F.when(F.col("alone"), before).otherwise(F.lit(0).cast("long")).alias("earlier"))
     )
 
 
-def candidate_groups(posts: DataFrame) -> DataFrame:
-    """``(node, root)``: sets that share a posting, directly or through others, have the same root."""
-    lists = staged(posts.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").select("key", "low"), "lists")
-    joined = components(posts.join(lists, "key").select(F.col("node").alias("a"), F.col("low").alias("b")))
-    roots = joined.select("root").distinct()
-    return joined.unionByName(roots.select(F.col("root").alias("node"), "root"))
+def posting_lists(posts: DataFrame) -> DataFrame:
+    """The postings of all lists with several members; of lists with the same members the one that comes first."""
+    lists = posts.groupBy("key").agg(
+        F.min("sets").alias("sets"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("sum"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("xor"),
+    ).where("n > 1")
+    first = lists.groupBy("n", "sum", "xor").agg(F.min(F.struct("sets", "key")).alias("first")).select(F.col("first.key").alias("key"))
+    return posts.drop("sets").join(staged(first, "first"), "key")
 
 
 def _similar(a: list[np.ndarray], b: list[np.ndarray], wanted: np.ndarray, percent: int) -> np.ndarray:
@@ -151,22 +158,31 @@ def _incidence(sets: list[np.ndarray], every: np.ndarray) -> np.ndarray:
 
 
 def _block_links(rows: list[tuple], matches: int, percent: int) -> list[tuple[int, int]]:
-    """Links that join the parts of a block, or of two blocks, from its ``(node, block, set, signature)``.
+    """Links that join components in a block, or in two, from its ``(node, block, root, earlier, set, signature)``.
 
-    Coordinates are counted for all pairs at once; those with enough in common are confirmed on the full sets. Links
-    within parts that are joined already are left out: they change no component.
+    Collisions are counted for all pairs at once. The merge skips pairs of one component and pairs that an earlier
+    list has: they agree in a coordinate that both have before this list's. Those with enough collisions are confirmed
+    on the full sets. Links within parts that are joined already are left out: they change no component.
     """
     blocks = sorted({row[1] for row in rows})
     first = [row for row in rows if row[1] == blocks[0]]
     second = first if len(blocks) == 1 else [row for row in rows if row[1] == blocks[1]]
-    a, b = (np.stack([row[3] for row in side]) for side in (first, second))
+    a, b = (np.stack([row[5] for row in side]) for side in (first, second))
     agree = np.zeros((len(a), len(b)), np.uint8)
     for c in range(COORDINATES):
         agree += a[:, c][:, None] == b[:, c][None, :]
-    wanted = agree >= matches
+    roots, others = (np.array([row[2] for row in side], np.int64) for side in (first, second))
+    wanted = (agree >= matches) & (roots[:, None] != others[None, :])
     if first is second:
         wanted &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
-    linked = np.argwhere(_similar([row[2] for row in first], [row[2] for row in second], wanted, percent))
+    before, behind = (np.array([row[3] for row in side], np.int64).view(np.uint64) for side in (first, second))
+    bits = np.uint64(1) << np.arange(COORDINATES, dtype=np.uint64)
+    pairs = np.argwhere(wanted)
+    for at in range(0, len(pairs), 65_536):
+        i, j = pairs[at : at + 65_536].T
+        met = (a[i] == b[j]) & ((before[i] & behind[j])[:, None] & bits != 0)
+        wanted[i, j] = ~met.any(axis=1)
+    linked = np.argwhere(_similar([row[4] for row in first], [row[4] for row in second], wanted, percent))
     parent: dict[int, int] = {}
 
     def find(node: int) -> int:
@@ -177,23 +193,15 @@ def _block_links(rows: list[tuple], matches: int, percent: int) -> list[tuple[in
 
     out = []
     for i, j in linked.tolist():
-        x, y = find(first[i][0]), find(second[j][0])
+        x, y = find(first[i][2]), find(second[j][2])
         if x != y:
             parent[max(x, y)] = min(x, y)
             out.append((first[i][0], second[j][0]))
     return out
 
 
-def confirmed_links(rows: DataFrame, groups: DataFrame, size: int, percent: int, matches: int) -> DataFrame:
-    """``(a, b)``: links within the groups ``(node, root, n_shingles)`` that join what is similar enough.
-
-    A group of any size is cut into blocks; every pair of blocks goes to some task as a unit of bounded size, so all
-    pairs of a group are compared, and none is listed that only shares a posting.
-    """
-    totals = groups.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
-    members = staged(groups.join(totals.where("n > 1").select("root", blocks.alias("blocks")), "root").select("node", "root", "blocks"), "members")
-    texts = rows.join(members.withColumnRenamed("node", "id"), "id")
+def member_sets(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """``(node, shingles, signature)`` of the rows whose ids are ``nodes``, as bytes."""
 
     def shingled(batches):
         shingler = once(("shingles", size), lambda: Shingler(size))
@@ -201,34 +209,33 @@ def confirmed_links(rows: DataFrame, groups: DataFrame, size: int, percent: int,
             sets = shingler.sets(batch.column("text").to_pylist())
             keep = [i for i, own in enumerate(sets) if len(own)]
             if keep:
-                part = batch.take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id"), part.column("root"), part.column("blocks"),
+                        batch.column("id").take(pa.array(keep)),
                         pa.array([sets[i].tobytes() for i in keep], pa.binary()), pa.array([signature(sets[i]).tobytes() for i in keep], pa.binary()),
                     ],
-                    ["node", "root", "blocks", "shingles", "signature"],
+                    ["node", "shingles", "signature"],
                 )
 
-    own_block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    sets = staged(texts.mapInArrow(shingled, "node long, root long, blocks int, shingles binary, signature binary"), "sets")
-    # By range, as ranges are even: by hash, several units of a large group would meet in one task.
+    return rows.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi").mapInArrow(shingled, "node long, shingles binary, signature binary")
+
+
+def unit_links(placed: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """``(a, b)``: links in units ``(list, low, high)``, each the members of one block or two, of bounded size."""
+    # By range, as ranges are even: by hash, several units of a long list would meet in one task.
     dealt = (
-        sets.withColumn("block", own_block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "shingles", "signature")
-        .repartitionByRange("root", "low", "high").sortWithinPartitions("root", "low", "high", "node")
+        placed.join(sets, "node").select("list", "low", "high", "block", "node", "root", "earlier", "shingles", "signature")
+        .repartitionByRange("list", "low", "high").sortWithinPartitions("list", "low", "high", "block", "node")
     )
 
     def compare(batches):
         key, unit = None, []
         for batch in batches:
-            names = ("root", "low", "high", "node", "block", "shingles", "signature")
-            for row in zip(*(batch.column(name).to_pylist() for name in names), strict=True):
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if row[:3] != key:
                     yield from _links_batch(key, unit, matches, percent)
                     key, unit = row[:3], []
-                unit.append((row[3], row[4], np.frombuffer(row[5], np.uint64), np.frombuffer(row[6], np.uint32)))
+                unit.append((row[4], row[3], row[5], row[6], np.frombuffer(row[7], np.uint64), np.frombuffer(row[8], np.uint32)))
         yield from _links_batch(key, unit, matches, percent)
 
     return dealt.mapInArrow(compare, "a long, b long")
@@ -243,6 +250,82 @@ def _links_batch(key, unit, matches, percent):
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _blocks_of(n, shingles):
+    """How many blocks so many rows and shingles fill, as a number with a fraction."""
+    return F.greatest(n / BLOCK_ROWS, shingles * 8 / BLOCK_BYTES)
+
+
+def pivot_units(lists: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(node, pivot)`` and their units: each node with one pivot, of another component, of one of its lists.
+
+    Every list has one pivot, another each ``turn``; a node takes the first by hash. So there is one pair a node.
+    """
+    pivots = staged(
+        lists.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), F.col("node").alias("pivot"), F.col("root").alias("own"))).alias("to")), "pivots",
+    )
+    pairs = staged(
+        lists.join(pivots, "key").where("root <> to.own").groupBy("node", "root", "n_shingles").agg(F.min("to").alias("to"))
+        .select("node", "root", "n_shingles", F.col("to.pivot").alias("pivot"), F.col("to.own").alias("own")), "pairs",
+    )
+    parts = staged(
+        pairs.groupBy("pivot", "own").agg(F.ceil(_blocks_of(F.count("*"), F.sum("n_shingles"))).alias("parts")), "parts"
+    )
+    part, none = F.pmod(F.xxhash64("node"), F.col("parts")).cast("string"), F.lit(0).cast("long")
+    members = pairs.join(parts.select("pivot", "parts"), "pivot").select(F.col("pivot").alias("list"), part.alias("low"), F.lit("").alias("high"), F.lit("member").alias("block"), "node", "root", none.alias("earlier"))
+    heads = parts.select("pivot", "own", F.explode(F.sequence(none, F.col("parts") - 1)).alias("part")).select(
+        F.col("pivot").alias("list"), F.col("part").cast("string").alias("low"), F.lit("").alias("high"), F.lit("head").alias("block"), F.col("pivot").alias("node"), F.col("own").alias("root"), none.alias("earlier")
+    )
+    return pairs, members.unionByName(heads)
+
+
+def block_units(lists: DataFrame) -> DataFrame:
+    """Units that compare all members of a list but those of one component with each other.
+
+    A component with a block's worth of members in a list has blocks of its own there; smaller ones share blocks.
+    """
+    parts = lists.groupBy("key", "root").agg(_blocks_of(F.count("*"), F.sum("n_shingles")).alias("fill"))
+    parts = staged(parts.withColumn("large", F.col("fill") >= 1), "fills")
+    bins = parts.where("NOT large").groupBy("key").agg(F.ceil(F.sum("fill")).alias("bins"))
+    block = F.when(F.col("large"), F.concat_ws(":", "root", F.pmod(F.xxhash64("node"), F.ceil("fill")))).otherwise(
+        F.concat_ws(":", F.lit("several"), F.pmod(F.xxhash64("root"), F.col("bins")))
+    )
+    cut = staged(
+        lists.join(parts, ["key", "root"]).join(bins, "key", "left")
+        .select("key", "node", "root", "earlier", block.alias("block"), F.when(F.col("large"), F.col("root")).alias("owner")), "cut",
+    )
+    blocks = staged(cut.select("key", "block", "owner").distinct(), "blocks")
+    other = blocks.select("key", F.col("block").alias("high"), F.col("owner").alias("with"))
+    apart = F.expr("(block < high AND NOT (owner <=> with AND owner IS NOT NULL)) OR (block = high AND owner IS NULL)")
+    units = blocks.join(other, "key").where(apart).select("key", F.col("block").alias("low"), "high")
+    ends = units.withColumn("block", F.explode(F.array_distinct(F.array("low", "high"))))
+    return cut.join(staged(ends, "units"), ["key", "block"]).select(F.col("key").alias("list"), "low", "high", "block", "node", "root", "earlier")
+
+
+def collision_links(lists: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """``(a, b)``: confirmed links that connect whatever the posting lists ``(node, key, n_shingles, earlier)`` link.
+
+    First every node meets one pivot of its lists, as often as that joins a tenth of the nodes compared: many copies of one
+    text are joined by about as many comparisons. Then all pairs that a list has of different components are
+    compared, in blocks, each pair in the first list that has it. So no pair that could join two components is left out.
+    """
+    links, roots, turn = None, None, 0
+    while True:
+        rooted = lists.withColumn("root", F.col("node")) if roots is None else (
+            lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        )
+        rooted = staged(rooted, "rooted")
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        mixed = staged(rooted.join(staged(mixed, "mixed"), "key"), "lists")
+        pairs, units = pivot_units(mixed, turn)
+        found = staged(unit_links(units, sets, percent, matches), "links")
+        links = found if links is None else links.unionByName(found)
+        compared, joined = pairs.count(), found.count()
+        if joined * 10 < compared or not joined:
+            break
+        roots, turn = components(links), turn + 1
+    return links.unionByName(staged(unit_links(block_units(mixed), sets, percent, matches), "links"))
+
+
 def near_duplicates(
     df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -250,8 +333,9 @@ def near_duplicates(
 
     A-Z is lower-cased; words are ``[^\\x20\\x09-\\x0D]+`` of the whole text; a document is the set of its ``size``-word
     shingles, or all its words as one shingle if they are fewer. Documents are linked if 100 * intersection is at least
-    ``percent`` * union; ``component_id`` is the smallest id a document reaches over links. Candidates come from
-    signatures (a link is missed with a chance of ``MISS``), links are confirmed on the full sets of 64-bit shingles.
+    ``percent`` * union; ``component_id`` is the smallest id a document reaches over links. Candidates are pairs whose
+    collisions in the posting lists of signature coordinates reach ``least_matches`` (a link is missed with a chance of
+    ``MISS``); links are confirmed on the full sets of 64-bit shingles.
     Rows without words are linked with nothing; rows that share an id are one node; a row without an id has no
     component id, is kept, and links nothing; an empty table gives an empty one.
     """
@@ -263,9 +347,9 @@ def near_duplicates(
         own.where("n_shingles > 0 AND id IS NOT NULL").groupBy("digest")
         .agg(F.min("id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")), "nodes",
     )
-    groups = candidate_groups(staged(postings(nodes, matches), "posts"))
-    sized = groups.join(nodes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
-    links = staged(confirmed_links(rows.where("id IS NOT NULL"), sized, size, percent, matches), "links")
+    lists = staged(posting_lists(staged(postings(nodes, matches), "posts")), "met")
+    sets = staged(member_sets(rows.where("id IS NOT NULL"), lists.select("node").distinct(), size), "sets")
+    links = collision_links(lists, sets, percent, matches)
     # An id of rows with different texts joins their sets.
     several = staged(
         own.where("n_shingles > 0 AND id IS NOT NULL").groupBy("id").agg(F.countDistinct("digest").alias("n")).where("n > 1").select("id"), "several",
