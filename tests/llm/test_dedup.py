@@ -135,3 +135,20 @@ def test_components_of_chains_and_stars(spark):
     links = spark.createDataFrame([*chain, *star, (200, 200), (302, 301), (301, 302)], "a long, b long")
     found = {r.node: r.root for r in components(links).collect()}
     assert found == {i: 1 for i in range(2, 31)} | {i: 100 for i in range(101, 130)} | {302: 301}
+
+
+def test_blocks_skip_pairs_of_one_component_and_of_earlier_lists():
+    own = np.arange(100, dtype=np.uint64)
+    sign = neardedup.signature(own)
+
+    def links(*members):
+        rows = [(node, "b", root, earlier, own, sign) for node, root, earlier in members]
+        return neardedup._block_links(rows, neardedup.least_matches(85), 85)
+
+    assert links((1, 1, 0), (2, 2, 0)) == [(1, 2)]
+    assert links((1, 1, 0), (2, 1, 0)) == []
+    # Both have the coordinate of bit 3 in a list before this one; the highest bit is one of the 64, too.
+    assert links((1, 1, 8), (2, 2, 12)) == [] and links((1, 1, 8), (2, 2, 4)) == [(1, 2)]
+    assert links((1, 1, -(1 << 63)), (2, 2, -(1 << 63))) == []
+    # A component is joined once, whichever of its members is linked.
+    assert len(links((1, 1, 0), (2, 1, 0), (3, 3, 0))) == 1
