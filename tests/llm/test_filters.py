@@ -138,6 +138,47 @@ def test_other_wordings_of_licenses(documents):
     assert [found[i] for i in range(len(texts))] == [*texts.values()]
 
 
+def test_licenses_need_different_words_of_a_notice_in_order(documents):
+    texts = {
+        "this public license public license text": "", "the bsd the bsd kernel": "", "use of the mit the mit campus": "",
+        "apache license " * 6: "", "license version under the apache license licensed under the version 2.0": "",
+        "released under the mit license mit license mit license": "mit", "GNU GPL v3": "gpl", "// SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd", "SPDX-License-Identifier: CC-BY-4.0": "cc-by",
+        "SPDX-License-Identifier: CC-BY-NC-4.0": "cc-by,cc-by-nc", "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "mit license " * 500 + "released under the quite free mit license " + "the mit " * 500: "mit",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.": "mit",
+    }
+    found = {r.doc_id: r.labels for r in licenses.license_scan(documents([*enumerate(texts)])).collect()}
+    assert found == dict(enumerate(texts.values()))
+
+
+def test_license_coverage_against_brute_force(documents):
+    rng, word = random.Random(5), re.compile(licenses.WORD)
+    templates = [(label, word.findall(text)) for label, text in licenses.NOTICES + licenses.WORDINGS]
+    pool = [w for _, words in templates for w in words]
+    texts = [" ".join(x for _ in range(rng.randint(1, 5)) for x in (lambda t: t[:rng.randint(1, len(t))] + rng.sample(pool, rng.randint(0, 2)))(rng.choice(templates)[1])) for _ in range(60)]
+
+    def coverage(words, own):
+        grams, best = list(zip(own, own[1:])), 0
+        votes = [(i, j) for i, g in enumerate(zip(words, words[1:])) for j, h in enumerate(grams) if g == h]
+        for d in {i - j for i, j in votes}:
+            near = sorted(((i, -j) for i, j in votes if d <= i - j <= d + min(licenses.DRIFT, len(own) // 2)))
+            ends = []
+            for k, (i, j) in enumerate(near):
+                ends.append(1 + max((ends[m] for m in range(k) if near[m][0] < i and -near[m][1] < -j), default=0))
+            best = max(best, max(ends))
+        return best / len(grams)
+
+    expected = {}
+    for i, text in enumerate(texts):
+        words = text.split()
+        shares = [(label, coverage(words, own)) for label, own in templates]
+        phrases = [label for label, phrase in licenses.PHRASES if f" {phrase} " in f" {' '.join(words)} "]
+        expected[i] = (",".join(sorted({label for label, share in shares if share >= licenses.THRESHOLD} | set(phrases))), 1.0 if phrases else max(share for _, share in shares))
+    assert {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(documents([*enumerate(texts)])).collect()} == expected
+
+
 def test_license_scan_of_odd_rows(odd, empty, clashing):
     rows = licenses.license_scan(odd).collect()
     assert len(rows) == odd.count() and all(r.n_base == 0 and r.first_word is None and 0 <= r.score <= 1 for r in rows)
