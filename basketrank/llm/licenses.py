@@ -118,12 +118,12 @@ def in_order(votes: Column, length: Column) -> Column:
 
 
 def license_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, notices=NOTICES + WORDINGS) -> DataFrame:
-    """``(row, <id_col>, n_words, template, label, base, start, stop, places, first, last, coverage)``.
+    """``(row, <id_col>, n_words, template, label, base, start, stop, first, last, coverage)``.
 
     A row for each span: words ``start`` (from 0) up to ``stop``, and the share of the template's grams that it has in
-    the template's order, each once; of spans that share diagonals the best is kept, the first of equal ones. A span
-    of a phrase stands for its exact ``places``, ``first`` and ``last`` being their smallest and largest start. Rows of
-    the input are told apart by ``row``, whatever their ids; each has also a row without a template.
+    the template's order, each once; of spans that share diagonals the best is kept, the first of equal ones;
+    ``first`` and ``last`` are its outer diagonals. Each exact place of a phrase is a span. Rows of the input are told
+    apart by ``row``, whatever their ids; each has also a row without a template.
     """
     spark = df.sparkSession
     words = id_and_text(df, id_col, text_col).select(
@@ -149,18 +149,10 @@ def license_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count("*").alias("votes"), F.sum(F.expr("shiftleft(1L, greatest(place, 0))")).alias("met"),
         F.min("pos").alias("start"), (F.max("pos") + GRAM).alias("stop"),
     )
-    # Phrases are exact: only a diagonal with all votes is a place, and each is taken by itself.
-    places = (
-        diagonals.where(F.col("base") & (F.col("votes") == F.col("length")))
-        .groupBy("row", "id", "n_words", "template", "label", "base")
-        .agg(
-            F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("places"),
-            F.min("diagonal").alias("first"), F.max("diagonal").alias("last"), F.lit(1.0).alias("coverage"),
-        )
-    )
     own = Window.partitionBy("row", "template").orderBy("diagonal")
-    # Every diagonal is judged with its neighbours, and so also by itself.
-    drift = F.least(F.lit(DRIFT), F.floor((F.col("length") + GRAM - 1) / 2))
+    # Every diagonal is judged with its neighbours, and so also by itself. Phrases are exact: only a diagonal with all
+    # votes is a place, and each is taken by itself.
+    drift = F.when(F.col("base"), F.lit(0).cast("long")).otherwise(F.least(F.lit(DRIFT), F.floor((F.col("length") + GRAM - 1) / 2)))
     near = F.filter(
         F.collect_list(F.struct("diagonal", "met", "start", "stop")).over(own.rangeBetween(0, DRIFT)),
         lambda other: other["diagonal"] <= F.col("diagonal") + F.col("drift"),
@@ -171,19 +163,19 @@ def license_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )))
     share = F.when(F.size("near") == 1, F.col("votes")).otherwise(in_order(votes, F.col("length"))) / F.col("length")
     judged = (
-        diagonals.where(~F.col("base")).withColumn("drift", drift).withColumn("near", near)
+        diagonals.where(~F.col("base") | (F.col("votes") == F.col("length"))).withColumn("drift", drift).withColumn("near", near)
         .withColumn("coverage", F.when(F.col("template") < 0, 0.0).otherwise(share))
     )
     before = F.coalesce(F.max("coverage").over(own.rangeBetween(-DRIFT, -1)), F.lit(-1.0))
     after = F.coalesce(F.max("coverage").over(own.rangeBetween(1, DRIFT)), F.lit(-1.0))
-    spans = judged.withColumn("before", before).withColumn("after", after).where("coverage > before AND coverage >= after").select(
+    spans = judged.withColumn("before", before).withColumn("after", after).where("base OR (coverage > before AND coverage >= after)").select(
         "row", "id", "n_words", "template", "label", "base",
         F.array_min(F.transform("near", lambda other: other["start"])).alias("start"), F.array_max(F.transform("near", lambda other: other["stop"])).alias("stop"),
-        F.size("near").cast("long").alias("places"), F.col("diagonal").alias("first"),
+        F.col("diagonal").alias("first"),
         F.array_max(F.transform("near", lambda other: other["diagonal"])).alias("last"), "coverage",
     )
-    columns = ("row", F.col("id").alias(id_col), "n_words", "template", "label", "base", "start", "stop", "places", "first", "last", "coverage")
-    return spans.unionByName(places).select(*columns)
+    columns = ("row", F.col("id").alias(id_col), "n_words", "template", "label", "base", "start", "stop", "first", "last", "coverage")
+    return spans.select(*columns)
 
 
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,7 +196,7 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return F.array_join(F.array_sort(F.collect_set(F.when(which, F.col("label")))), ",")
 
     return spans.groupBy("row", id_col, "n_words").agg(
-        F.coalesce(F.sum(F.when(base, F.col("places"))), F.lit(0)).alias("n_base"),
+        F.count(F.when(base, 1)).alias("n_base"),
         F.min(F.when(base, F.col("first").cast("long"))).alias("first_word"),
         F.max(F.when(base, F.col("last").cast("long"))).alias("last_word"),
         labels(base).alias("base_labels"), labels(base | hit).alias("labels"), F.max("coverage").alias("score"),
