@@ -77,6 +77,23 @@ def test_catalogue_join_deals_out_popular_keys(spark, monkeypatch):
     assert spread.columns == small.columns and small.where("x is null").count() > 0
 
 
+def test_large_catalogue_moves_once_but_for_popular_keys(spark, monkeypatch, tmp_path):
+    # Written out, it is so small a file that Spark would broadcast it, whatever the parts make of it.
+    spark.range(5000).select(F.col("id").alias("article_id"), (F.col("id") * 10).alias("x")).write.parquet(str(tmp_path / "c"))
+    catalogue = spark.read.parquet(str(tmp_path / "c"))
+    rows = spark.range(20000).select(F.when(F.col("id") < 9000, 7).otherwise(F.col("id") % 5000).alias("article_id"), F.col("id").alias("customer_id"))
+    monkeypatch.setattr(storage, "fits_broadcast", lambda df: False)
+    assert storage.popular_keys(rows, "article_id") == [7]
+    joined = join_catalogue(rows, catalogue, "article_id", "customer_id")
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+    assert joined.where("x = article_id * 10").count() == 20000
+    moved = []
+    monkeypatch.setattr(type(catalogue), "hint", lambda df, *_: moved.append(df.count()) or df)
+    join_catalogue(rows, catalogue, "article_id", "customer_id")
+    assert moved == [5000 + storage.SPREAD - 1]
+
+
 def test_broadcasts_are_measured(spark):
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
     assert storage.fits_broadcast(wide) and not storage.fits_broadcast(wide, max_rows=9) and not storage.fits_broadcast(wide, max_bytes=9000)
