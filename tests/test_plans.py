@@ -3,6 +3,7 @@
 from basketrank.operators import candidates, features, predict, stats
 from basketrank.plans import queries
 from basketrank.plans.testdata import bind
+from basketrank.session import PARTS, tune
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,3 +56,38 @@ def test_feature_rows_are_joined_by_three_keys(spark):
         assert joins - subqueries == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_tasks_rows_do_not_grow_with_the_table(spark):
+    bind(spark, SF)
+    # 50 MB after compression, for a session of 4 shuffle partitions.
+    rows = spark.range(6_000_000).selectExpr("id % 100000 as k", "rand(3) as x").repartition("k")
+    tasks = rows.selectExpr("spark_partition_id() as part", "x").groupBy("part").agg({"x": "max"})
+    assert len(tasks.collect()) > 4
+
+
+def test_settings_of_the_session_itself_stay(spark):
+    held = {}
+
+    class Conf:
+        def __init__(self, given):
+            self.given = given
+
+        def get(self, key):
+            return self.given.get(key)
+
+        def set(self, key, value):
+            held[key] = value
+
+    def tuned(**given):
+        held.clear()
+        conf = Conf({key.replace("_", "."): value for key, value in given.items()})
+        context = type("Context", (), {"getConf": staticmethod(lambda: conf)})
+        tune(type("Session", (), {"conf": conf, "sparkContext": context}))
+        return held
+
+    assert tuned(spark_sql_shuffle_partitions="12")[PARTS] == "200"
+    assert tuned(spark_sql_shuffle_partitions="900")[PARTS] == "900"
+    assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" not in tuned(**{
+        "spark_sql_shuffle_partitions": "12", "spark_sql_adaptive_advisoryPartitionSizeInBytes": "1m",
+    })
