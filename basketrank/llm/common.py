@@ -81,12 +81,21 @@ def slices(
 
 
 def once(key: Any, build: Callable[[], Any]) -> Any:
-    """Build something a Python worker needs in every task only once, for as long as the worker lives."""
+    """Build something a Python worker needs in every task only once, until another operator builds something there.
+
+    The first part of a key names the operator: workers outlive it, and what it remembers would stay beside the next.
+    """
     if key not in _kept:
+        for other in [other for other in _kept if _owner(other) != _owner(key)]:
+            del _kept[other]
         _kept[key] = build()
     return _kept[key]
 
 
+def _owner(key: Any) -> Any:
+    return key[0] if isinstance(key, tuple) else key
+
+
 class Memo(dict):
     """Remembers what ``make`` gave for a key, at most ``2 * size`` of them: those used lately, in two generations."""
 

@@ -18,7 +18,7 @@ from .components import components
 COORDINATES, MISS = 64, 1e-6
 #: Posting lists are compared in blocks of about so many documents and bytes of shingles.
 BLOCK_ROWS, BLOCK_BYTES = 256, 16 << 20
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 
 # Odd multipliers: coordinate c of a set is the smallest upper half of (multiplier c * shingle).
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

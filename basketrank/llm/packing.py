@@ -14,8 +14,8 @@ from tokenizers import Tokenizer
 
 from .common import Memo, id_and_text, once, shared_bytes, slices
 
-#: Words, and pieces of words, whose ids a worker remembers, twice.
-MEMO_WORDS, MEMO_PIECES = 500_000, 300_000
+#: Words and pieces of words whose ids a worker remembers, twice.
+MEMO_WORDS = 350_000
 #: Windows held open by a task, at most 16 KB of ids each; beyond it they are consolidated.
 MAX_OPEN = 4096
 
@@ -24,42 +24,46 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def _ids(tokens: list) -> bytes:
+    return _bytes([token.id for token in tokens])
+
+
 class WordTokenizer:
     """Ids of texts, word by word, for tokenizers whose tokens never reach over white space.
 
     That holds where the tokenizer first cuts by a pattern that leaves white space out. Words are remembered, and so
     are the pattern's pieces of words in the Latin blocks, for which normalising means lower case only; other words
     go through the tokenizer as they are. So do words that hold the string of an added token, which the library maps to
-    the token's id wherever it stands.
+    the token's id wherever it stands. A piece has the ids that it has as a word, so both are remembered in one place.
     """
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, remembered: int = MEMO_WORDS):
         self.whole = Tokenizer.from_str(content.decode())
         settings = json.loads(content)
-        self.added = [token["content"] for token in settings["added_tokens"]]
+        added = [token["content"] for token in settings["added_tokens"]]
+        self.added = regex.compile("|".join(map(regex.escape, added)) or "(?!)")
+        # Words of ASCII letters hold no added token that has another character.
+        self.lettered = any(own.isascii() and own.isalpha() for own in added)
         self.pieces_of = regex.compile(settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         # Byte-level alphabet: printable Latin-1 characters stand for themselves, the others follow from U+0100 on.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [byte for byte in range(256) if byte not in shown]
         self.alphabet = {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(rest)}
         self.latin = regex.compile("[!-~\xa1-\xac\xae-ɏ]+")
-        self.words = Memo(self._word, MEMO_WORDS)
-        self.pieces = Memo(self._piece, MEMO_PIECES)
+        self.words = Memo(self._word, remembered)
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha() and not self.lettered:
+            lower = word.lower()
+            return _ids(self.whole.model.tokenize(word.decode())) if lower == word else self.words[lower]
         text = word.decode()
-        if any(own in text for own in self.added):
+        if self.added.search(text) or not self.latin.fullmatch(text):
             return _bytes(self.whole.encode(text, add_special_tokens=False).ids)
-        if self.latin.fullmatch(text):
-            text = text.lower()
-            if text.isalpha():
-                return self.pieces[text]
-            return b"".join(map(self.pieces.__getitem__, self.pieces_of.findall(text)))
-        return _bytes(self.whole.encode(text, add_special_tokens=False).ids)
-
-    def _piece(self, piece: str) -> bytes:
-        tokens = self.whole.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))
-        return _bytes([token.id for token in tokens])
+        text = text.lower()
+        pieces = [text] if text.isalpha() else self.pieces_of.findall(text)
+        if len(pieces) == 1:
+            return _ids(self.whole.model.tokenize(pieces[0].encode().decode("latin-1").translate(self.alphabet)))
+        return b"".join([self.words[piece.encode()] for piece in pieces])
 
     def ids(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -151,7 +155,8 @@ class SumOfSquares:
 
 
 def pack(
-    df: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
+    remembered: int = MEMO_WORDS,
 ) -> DataFrame:
     """``(<id_col>, start, length, ids, doc_tokens, sequence_id, offset)``: one row for each piece.
 
@@ -161,11 +166,12 @@ def pack(
     windows of its task. ``ids`` are little-endian unsigned 32-bit integers. ``sequence_id`` is unique over all tasks;
     pieces stand gapless from offset 0; every sequence is full or a power of two long. Null and empty texts are a
     document of ``end_id`` alone; null ids stay null; repeated rows are packed each; an empty table gives no piece.
+    ``remembered`` bounds the words whose ids a worker keeps: fewer take less memory and more time.
     """
     content = shared_bytes(df.sparkSession, tokenizer)
 
     def run(batches):
-        tokens = once(("word tokenizer", tokenizer), lambda: WordTokenizer(content.value))
+        tokens = once(("word tokenizer", tokenizer, remembered), lambda: WordTokenizer(content.value, remembered))
         end = np.array([end_id], "<u4").tobytes()
         packer = SumOfSquares(size, TaskContext.get().partitionId() << 32)
         for batch in slices(batches):

@@ -97,7 +97,7 @@ def token_counts(
 
     def count(batches):
         automaton = once(("longest match", vocabulary), lambda: LongestMatch(pieces_of(content.value)))
-        counts = once(("longest match counts", vocabulary), lambda: Memo(lambda word: automaton.count(word.encode()), MEMO_WORDS))
+        counts = once(("longest match", vocabulary, "counts"), lambda: Memo(lambda word: automaton.count(word.encode()), MEMO_WORDS))
         words_of = regex.compile(pattern)
         for batch in slices(batches):
             words, tokens = [], []

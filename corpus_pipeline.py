@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from basketrank.llm import exactdedup, neardedup, packing, repetition, toxicity
 from basketrank.llm.common import ship, staged, table
 
+#: Words that a packing worker remembers: its executor's memory is what four stages before have left.
+REMEMBERED = 100_000
+
 # Stages have no equivalent in SQL: suffix arrays, a trained classifier, MinHash and a tokenizer.
 ORACLE_SQL = None
 
@@ -39,7 +42,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
     ship(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED)
 
 
 STAGES = [

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from basketrank.llm import bpe, packing, queries, tokencount
+from basketrank.llm import bpe, common, packing, queries, tokencount
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -176,3 +176,21 @@ def test_packing_query(spark):
 def test_window_must_be_a_power_of_two():
     with pytest.raises(ValueError):
         packing.SumOfSquares(100, 0)
+
+
+def test_word_ids_are_the_library_s_with_a_bounded_memory():
+    with open(queries.WORD_BPE, "rb") as file:
+        content = file.read()
+    text = "Foo foo FOO, foo, it's I'LL 3½ Straße ñandú, 日本語 a<|startoftext|>b x_y (Foo) İstanbul é\x00 #### don't2 " + " ".join(f"w{i}ord" for i in range(90))
+    tokens = packing.WordTokenizer(content, 20)
+    for _ in range(2):
+        assert np.frombuffer(tokens.ids(text), "<u4").tolist() == Tokenizer.from_str(content.decode()).encode(text, add_special_tokens=False).ids
+    assert len(tokens.words) <= 21 and len(tokens.words.old) <= 21
+
+
+def test_a_worker_drops_what_another_operator_needed(monkeypatch):
+    monkeypatch.setattr(common, "_kept", {})
+    first = common.once(("one", 1), list), common.once(("one", 2), list)
+    assert common.once(("one", 1), list) is first[0]
+    common.once("other", list)
+    assert [*common._kept] == ["other"]
