@@ -11,13 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketrank.sources.storage import broadcast_if_small
+
 from .common import Memo, id_and_text, once, slices, staged
 from .components import components
 
 #: Coordinates of a signature, and the chance that a link at the threshold has too few of them in common.
 COORDINATES, MISS = 64, 1e-6
-#: Posting lists are compared in blocks of about so many documents and bytes of shingles.
-BLOCK_ROWS, BLOCK_BYTES = 256, 16 << 20
+#: Posting lists are dealt out in blocks of about so many documents and bytes of shingles, and compared in tiles of so many rows.
+BLOCK_ROWS, BLOCK_BYTES, TILE_ROWS = 2048, 16 << 20, 256
 MEMO_WORDS = 100_000
 
 # Odd multipliers: coordinate c of a set is the smallest upper half of (multiplier c * shingle).
@@ -160,21 +162,46 @@ def _incidence(sets: list[np.ndarray], every: np.ndarray) -> np.ndarray:
 def _block_links(rows: list[tuple], matches: int, percent: int) -> list[tuple[int, int]]:
     """Links that join components in a block, or in two, from its ``(node, block, root, earlier, set, signature)``.
 
-    Collisions are counted for all pairs at once. The merge skips pairs of one component and pairs that an earlier
+    Collisions are counted for all pairs of a tile at once. The merge skips pairs of one component and pairs that an earlier
     list has: they agree in a coordinate that both have before this list's. Those with enough collisions are confirmed
     on the full sets. Links within parts that are joined already are left out: they change no component.
     """
     blocks = sorted({row[1] for row in rows})
-    first = [row for row in rows if row[1] == blocks[0]]
-    second = first if len(blocks) == 1 else [row for row in rows if row[1] == blocks[1]]
+    sides = [[row for row in rows if row[1] == block] for block in blocks[:2]]
+    tiles = [[side[at : at + TILE_ROWS] for at in range(0, len(side), TILE_ROWS)] for side in sides]
+    first, second = tiles[0], tiles[-1]
+    parent: dict[int, int] = {}
+
+    def find(node: int) -> int:
+        while (above := parent.setdefault(node, node)) != node:
+            parent[node] = parent[above]
+            node = above
+        return node
+
+    out = []
+    for number, left in enumerate(first):
+        for right in second if len(blocks) > 1 else first[number:]:
+            roots, others = ([find(row[2]) for row in side] for side in (left, right))
+            for i, j in np.argwhere(_tile_links(left, right, roots, others, matches, percent)).tolist():
+                x, y = find(roots[i]), find(others[j])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    out.append((left[i][0], right[j][0]))
+    return out
+
+
+def _tile_links(first: list[tuple], second: list[tuple], roots: list[int], others: list[int], matches: int, percent: int) -> np.ndarray:
+    """Which rows of two tiles, or of one with itself, are linked: those of components that are not joined yet."""
+    wanted = np.array(roots, np.int64)[:, None] != np.array(others, np.int64)[None, :]
+    if first is second:
+        wanted &= np.arange(len(first))[:, None] < np.arange(len(second))[None, :]
+    if not wanted.any():
+        return wanted
     a, b = (np.stack([row[5] for row in side]) for side in (first, second))
     agree = np.zeros((len(a), len(b)), np.uint8)
     for c in range(COORDINATES):
         agree += a[:, c][:, None] == b[:, c][None, :]
-    roots, others = (np.array([row[2] for row in side], np.int64) for side in (first, second))
-    wanted = (agree >= matches) & (roots[:, None] != others[None, :])
-    if first is second:
-        wanted &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
+    wanted &= agree >= matches
     before, behind = (np.array([row[3] for row in side], np.int64).view(np.uint64) for side in (first, second))
     bits = np.uint64(1) << np.arange(COORDINATES, dtype=np.uint64)
     pairs = np.argwhere(wanted)
@@ -182,22 +209,7 @@ def _block_links(rows: list[tuple], matches: int, percent: int) -> list[tuple[in
         i, j = pairs[at : at + 65_536].T
         met = (a[i] == b[j]) & ((before[i] & behind[j])[:, None] & bits != 0)
         wanted[i, j] = ~met.any(axis=1)
-    linked = np.argwhere(_similar([row[4] for row in first], [row[4] for row in second], wanted, percent))
-    parent: dict[int, int] = {}
-
-    def find(node: int) -> int:
-        while (above := parent.setdefault(node, node)) != node:
-            parent[node] = parent[above]
-            node = above
-        return node
-
-    out = []
-    for i, j in linked.tolist():
-        x, y = find(first[i][2]), find(second[j][2])
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((first[i][0], second[j][0]))
-    return out
+    return _similar([row[4] for row in first], [row[4] for row in second], wanted, percent)
 
 
 def member_sets(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -217,7 +229,9 @@ def member_sets(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                     ["node", "shingles", "signature"],
                 )
 
-    return rows.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi").mapInArrow(shingled, "node long, shingles binary, signature binary")
+    # A measured broadcast spares a shuffle of all texts, most of which no other document is like.
+    chosen = broadcast_if_small(staged(nodes.withColumnRenamed("node", "id"), "chosen"))
+    return rows.join(chosen, "id", "left_semi").mapInArrow(shingled, "node long, shingles binary, signature binary")
 
 
 def unit_links(placed: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketrank.llm import exactdedup, neardedup
 from basketrank.llm.components import components
@@ -152,3 +153,41 @@ def test_blocks_skip_pairs_of_one_component_and_of_earlier_lists():
     assert links((1, 1, -(1 << 63)), (2, 2, -(1 << 63))) == []
     # A component is joined once, whichever of its members is linked.
     assert len(links((1, 1, 0), (2, 1, 0), (3, 3, 0))) == 1
+
+
+def test_tiles_of_a_block_give_the_links_of_one_tile(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 62, 120)).astype(np.uint64)
+    rows = []
+    for node in range(90):
+        own = base.copy()
+        own[rng.choice(len(base), rng.integers(0, 16), replace=False)] = rng.integers(0, 1 << 62, 1)
+        own = np.unique(own)
+        rows.append((node, "ab"[node % 2], node, 0, own, neardedup.signature(own)))
+    matches = neardedup.least_matches(85)
+
+    def joined(links):
+        parent = list(range(90))
+        for _ in range(90):
+            for x, y in links:
+                parent[x] = parent[y] = min(parent[x], parent[y])
+        return parent
+
+    for unit in (rows, [(node, "a", *rest) for node, _, *rest in rows]):
+        monkeypatch.setattr(neardedup, "TILE_ROWS", 1000)
+        whole = neardedup._block_links(unit, matches, 85)
+        monkeypatch.setattr(neardedup, "TILE_ROWS", 7)
+        cut = neardedup._block_links(unit, matches, 85)
+        assert whole and joined(cut) == joined(whole) and len(cut) == len(whole)
+
+
+def test_members_of_a_list_of_a_thousand_move_once(spark):
+    lists = spark.range(1000).select(F.lit(5).cast("long").alias("key"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("earlier"), F.col("id").alias("root"))
+    assert neardedup.block_units(lists).count() == 1000
+
+
+def test_texts_are_not_shuffled_for_the_few_that_others_are_like(documents):
+    rows = neardedup.id_and_text(documents([(1, "a b"), (2, "c d")]), "doc_id", "text")
+    sets = neardedup.member_sets(rows, rows.select(F.col("id").alias("node")).distinct(), 3)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and sets.count() == 2
