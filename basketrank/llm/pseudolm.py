@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, id_and_text, once, ship, slices, staged
+from .common import id_and_text, ship, slices, staged
 
 #: Outputs of the network: the most frequent words of the corpus, then buckets for all others by a hash (255 at most).
 FREQUENT, BUCKETS = 96, 32
@@ -25,11 +25,13 @@ PASSES = 1
 RATE, BATCH = 4.0, 1024
 #: Scores up to this size need no care before ``exp`` in single precision.
 LARGEST = 60
-MEMO_WORDS = 200_000
+#: Words counted in a task before their counts go on.
+COUNTED_WORDS = 200_000
 #: Documents that share one list of their words while they are scored: up to so many different words, or words in all.
 LISTED, TOGETHER = 500_000, 8_000_000
 #: A hidden vector stands for each input beyond the outputs: the place before the first and after the last word.
 EDGE = FREQUENT + BUCKETS
+_ONES = np.ones(EDGE, np.float32)
 
 
 @dataclass
@@ -63,43 +65,55 @@ class Network:
         return cls(near.reshape(2 * REACH, EDGE + 1, HIDDEN), bias, out.reshape(HIDDEN, EDGE), prior)
 
     def _forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hidden layer, scores of all outputs, none too large for ``exp``) for rows of ``2 * REACH`` neighbours."""
+        """(hidden layer and a last column of 1, scores of all outputs, none too large for ``exp``) for rows of ``2 * REACH`` neighbours.
+
+        Both are overwritten by the next call: fresh memory for every batch costs more than the products.
+        """
+        hidden, scores = (part[: len(context)] for part in self._room(len(context)))
         total = self.near[0].take(context[:, 0], axis=0)
         total += self.bias
         for i in range(1, 2 * REACH):
             total += self.near[i].take(context[:, i], axis=0)
-        hidden = np.tanh(total, out=total)
-        scores = hidden @ self.out
-        scores += self.prior
+        np.tanh(total, out=hidden[:, :HIDDEN])
+        # The column of 1 adds the prior.
+        np.matmul(hidden, np.concatenate([self.out, self.prior[None]]), out=scores)
         # A hidden value is 1 at most, which bounds the scores.
         if np.abs(self.out).sum(axis=0).max() + np.abs(self.prior).max() > LARGEST:
             scores -= scores.max(axis=1, keepdims=True)
         return hidden, scores
 
+    def _room(self, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        if not hasattr(self, "_kept") or len(self._kept[0]) < rows:
+            self._kept = np.ones((rows, HIDDEN + 1), np.float32), np.empty((rows, EDGE), np.float32)
+        return self._kept
+
     def log_probability(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Of each word, given its neighbours."""
         _, scores = self._forward(context)
         own = scores[np.arange(len(word)), word]
-        return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+        return own - np.log(np.exp(scores, out=scores) @ _ONES)
 
     def train(self, context: np.ndarray, word: np.ndarray, rate: float) -> None:
         """One step of gradient descent on the mean log-loss of the rows."""
-        hidden, scores = self._forward(context)
-        error = np.exp(scores, out=scores)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(word)), word] -= 1
+        hidden, error = self._forward(context)
+        np.exp(error, out=error)
+        # Each row over its sum, less 1 at the word, is the error; the sums divide the small factors instead.
+        share = 1 / (error @ _ONES)
+        error[np.arange(len(word)), word] -= 1 / share
         back = error @ self.out.T
+        back *= share[:, None]
         step = np.float32(rate / len(word))
-        self.out -= step * (hidden.T @ error)
-        back *= 1 - np.square(hidden, out=hidden)
-        self.prior -= step * error.sum(axis=0)
+        change = (hidden * share[:, None]).T @ error
+        self.out -= step * change[:HIDDEN]
+        back *= 1 - np.square(hidden[:, :HIDDEN])
+        self.prior -= step * change[HIDDEN]
         self.bias -= step * back.sum(axis=0)
+        # Rows of the same neighbour at the same place add up.
+        columns = np.ascontiguousarray(back.T, np.float64)
         for i in range(2 * REACH):
-            # Rows of the same neighbour add up.
-            order = np.argsort(context[:, i], kind="stable")
-            ids = context[order, i]
-            firsts = np.flatnonzero(np.diff(ids, prepend=EDGE + 1))
-            self.near[i][ids[firsts]] -= step * np.add.reduceat(back.take(order, axis=0), firsts, axis=0)
+            ids = context[:, i].astype(np.intp)
+            sums = [np.bincount(ids, column, EDGE + 1) for column in columns]
+            self.near[i] -= step * np.array(sums, np.float32).T
 
 
 def word_hash(word: bytes) -> int:
@@ -107,6 +121,12 @@ def word_hash(word: bytes) -> int:
     return (xxhash.xxh32_intdigest(word) << 32 | zlib.crc32(word)) - (1 << 63)
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """``word_hash`` of each: hashing a word anew costs less than looking it up among very many."""
+    upper, lower = (np.fromiter(map(half, words), np.int64, len(words)) for half in (xxhash.xxh32_intdigest, zlib.crc32))
+    return (upper << 32 | lower) ^ np.int64(-1 << 63)
+
+
 class Vocabulary:
     """Numbers of words: 0 to ``FREQUENT - 1`` for the frequent ones (words or hashes), then the bucket of a hash."""
 
@@ -114,13 +134,12 @@ class Vocabulary:
         known = np.array([word if isinstance(word, int) else word_hash(word.encode()) for word in frequent], np.int64)
         self.order = np.argsort(known)
         self.known = known[self.order]
-        self.hashes = once("word hashes", lambda: Memo(word_hash, MEMO_WORDS))
 
     def hashed(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each word, all documents one after another; words of each document)."""
         words = [(text or "").encode().lower().split() for text in texts]
         lengths = np.array([len(own) for own in words], np.int64)
-        return np.fromiter(chain.from_iterable(map(self.hashes.__getitem__, own) for own in words), np.int64, int(lengths.sum())), lengths
+        return word_hashes(list(chain.from_iterable(words))), lengths
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         out = (FREQUENT + (hashes & 0xFFFFFFFF) % BUCKETS).astype(np.uint8)
@@ -152,7 +171,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
         for batch in slices(batches):
             for text in batch.column("text").to_pylist():
                 counts.update((text or "").encode().lower().split())
-            if len(counts) > MEMO_WORDS:
+            if len(counts) > COUNTED_WORDS:
                 yield from _counted(counts)
         yield from _counted(counts)
 
@@ -163,7 +182,7 @@ def _counted(counts: Counter):
     names = list(counts)
     for at in range(0, len(names), 10_000):
         part = names[at : at + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array(map(word_hash, part), pa.int64()), pa.array([counts[w] for w in part], pa.int64())], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(word_hashes(part)), pa.array([counts[w] for w in part], pa.int64())], ["word", "n"])
     counts.clear()
 
 

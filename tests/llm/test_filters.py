@@ -246,6 +246,17 @@ def test_weights_come_from_the_labelled_pages():
     assert htmltext.best_run([-1, 2, -1, 3, -9, 3]) == (1, 4) and htmltext.best_run([-1.0]) == (0, 0) and htmltext.best_run([]) == (0, 0)
 
 
+def test_many_words_are_hashed_as_one_and_batches_do_not_share_results():
+    words = [b"", b"a", b"the", "wörter".encode(), b"x" * 5000]
+    assert pseudolm.word_hashes(words).tolist() == [pseudolm.word_hash(word) for word in words]
+    assert pseudolm.word_hashes([]).tolist() == []
+    net = pseudolm.Network.fresh(np.full(pseudolm.EDGE, 1 / pseudolm.EDGE))
+    rng = np.random.default_rng(2)
+    context, word = rng.integers(0, pseudolm.EDGE, (60, 2 * pseudolm.REACH)).astype(np.uint8), rng.integers(0, 20, 60)
+    parts = [net.log_probability(context[at : at + 40], word[at : at + 40]) for at in (0, 40)]
+    np.testing.assert_allclose(np.concatenate(parts), net.log_probability(context, word), rtol=1e-5)
+
+
 def test_windows_stay_within_documents():
     context, word, doc = pseudolm.Vocabulary(["a", "b"]).windows(["a b a", None, "B"])
     edge = pseudolm.EDGE
