@@ -4,6 +4,7 @@ from basketrank.operators import candidates, features, predict, stats
 from basketrank.plans import queries
 from basketrank.plans.testdata import bind
 from basketrank.session import PARTS, tune
+from basketrank.sources import storage
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,6 +59,24 @@ def test_feature_rows_are_joined_by_three_keys(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_candidates_of_popular_articles_do_not_move_by_article(spark, monkeypatch):
+    inputs = bind(spark, SF)
+    pivot = queries.Stages(spark)("pivot", candidates.source_pivot(candidates.generate_candidates(candidates.recent_activity(inputs.train_tx, inputs.calendar), inputs.customers)))
+    statistics = features.build_statistics(inputs.train_tx_clean, inputs.articles, inputs.customers, inputs.calendar, inputs.calendar.last_train)
+    broadcast = features.build_features(pivot, statistics)
+    monkeypatch.setattr(features, "fits_broadcast", lambda df: False)
+    # So that some articles are popular here and some are not.
+    monkeypatch.setattr(storage, "POPULAR", 1 / 180)
+    popular = storage.popular_keys(pivot, "article_id")
+    assert 0 < len(popular) < pivot.select("article_id").distinct().count()
+    moved = []
+    monkeypatch.setattr(type(pivot), "hint", lambda df, *_: moved.append(df.select("article_id").distinct().collect()) or df)
+    spread = features.build_features(pivot, statistics)
+    assert len(moved) == 1 and not {r.article_id for r in moved[0]} & set(popular)
+    assert spread.columns == broadcast.columns
+    assert spread.exceptAll(broadcast).count() == 0 and spread.count() == broadcast.count() == pivot.count()
+
+
 def test_a_tasks_rows_do_not_grow_with_the_table(spark):
     bind(spark, SF)
     # 50 MB after compression, for a session of 4 shuffle partitions.
